@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punji.llm import boilerplate, canonical, encodings, leakage, lookalikes, names, packing
+from punji.llm import boilerplate, canonical, encodings, leakage, lookalikes, names, packing, subjects
 from punji.runtime import cut, table
 
 
@@ -100,8 +100,18 @@ def p8_near(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"), near=12)
 
 
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return subjects.document_subjects(table(spark, sf, "documents"), table(spark, sf, "subject_labels"), table(spark, sf, "subjects"))
+
+
+def p9_composition(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of the corpus deals with each subject."""
+    found = p9_found(spark, sf).groupBy("subject_id").agg(F.count("*").alias("documents"))
+    return table(spark, sf, "subjects").select("subject_id", "subject_name").join(found, "subject_id", "left").select("subject_id", "subject_name", F.coalesce("documents", F.lit(0)).alias("documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = (p1_found, p1_entities, p2_found, p2_repaired, p3_found, p3_unmatched, p4_found, p4_unified, p6_found, p6_cleaned, p7_packing, p7_report, p8_found, p8_near)
+    listed = (p1_found, p1_entities, p2_found, p2_repaired, p3_found, p3_unmatched, p4_found, p4_unified, p6_found, p6_cleaned, p7_packing, p7_report, p8_found, p8_near, p9_found, p9_composition)
     return {f.__name__: f for f in listed}
 
 
