@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punji.llm import boilerplate, canonical, encodings, leakage, lookalikes, names, packing, subjects
+from punji.llm import boilerplate, canonical, encodings, leakage, lookalikes, names, packing, reprints, subjects
 from punji.runtime import cut, table
 
 
@@ -75,6 +75,14 @@ def p4_unified(spark: SparkSession, sf: str) -> DataFrame:
     return lookalikes.unified(_looks(spark, sf)).select(F.col("field").alias("record_src"), F.col("id").alias("record_id"), "text")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return reprints.reprint_pairs(table(spark, sf, "articles"))
+
+
+def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return reprints.reprint_classes(table(spark, sf, "articles"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return boilerplate.standing_lines(table(spark, sf, "pages")).select(F.col("page_id").cast("int"), F.col("line_no").cast("int"))
 
@@ -111,7 +119,7 @@ def p9_composition(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = (p1_found, p1_entities, p2_found, p2_repaired, p3_found, p3_unmatched, p4_found, p4_unified, p6_found, p6_cleaned, p7_packing, p7_report, p8_found, p8_near, p9_found, p9_composition)
+    listed = (p1_found, p1_entities, p2_found, p2_repaired, p3_found, p3_unmatched, p4_found, p4_unified, p5_found, p5_classes, p6_found, p6_cleaned, p7_packing, p7_report, p8_found, p8_near, p9_found, p9_composition)
     return {f.__name__: f for f in listed}
 
 
