@@ -93,10 +93,14 @@ class RTree:
         return self.order[nodes[bound >= needed(self.sizes[nodes], size, threshold)]]
 
 
-def _bound_pairs(tokens: np.ndarray, keys: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
-    """Pairs of keys within each token's texts whose summed coordinate minima allow the similarity."""
+def _bound_pairs(tokens: np.ndarray, ranks: np.ndarray, keys: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
+    """Pairs of keys within each token's texts whose summed coordinate minima allow the similarity.
+
+    ``ranks``: the token's place in its text's order by rarity. The first token that two texts have in common leaves
+    enough of both behind it, so a pair is only taken at a token where that holds.
+    """
     order = np.argsort(tokens, kind="stable")
-    tokens, keys, sizes, vectors = tokens[order], keys[order], sizes[order], vectors[order]
+    tokens, ranks, keys, sizes, vectors = tokens[order], ranks[order], keys[order], sizes[order], vectors[order]
     starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
     lengths = np.diff(np.r_[starts, len(tokens)])
     for g in np.unique(lengths):
@@ -106,7 +110,7 @@ def _bound_pairs(tokens: np.ndarray, keys: np.ndarray, sizes: np.ndarray, vector
         if g <= PAIRWISE:
             for i in range(1, g):
                 a, b = (at[:, None] + np.arange(g - i)).ravel(), (at[:, None] + np.arange(i, g)).ravel()
-                fit = needed(sizes[a], sizes[b], threshold) <= np.minimum(sizes[a], sizes[b])
+                fit = needed(sizes[a], sizes[b], threshold) <= np.minimum(sizes[a] - ranks[a], sizes[b] - ranks[b])
                 a, b = a[fit], b[fit]
                 good = np.minimum(vectors[a], vectors[b]).sum(axis=1) >= needed(sizes[a], sizes[b], threshold)
                 yield np.stack([keys[a[good]], keys[b[good]]], axis=1)
@@ -116,6 +120,8 @@ def _bound_pairs(tokens: np.ndarray, keys: np.ndarray, sizes: np.ndarray, vector
             for q in range(g):
                 hits = tree.query(vectors[s + q], int(sizes[s + q]), threshold)
                 hits = hits[hits > q]
+                left = np.minimum(sizes[s + hits] - ranks[s + hits], sizes[s + q] - ranks[s + q])
+                hits = hits[needed(sizes[s + hits], sizes[s + q], threshold) <= left]
                 yield np.stack([np.full(len(hits), keys[s + q]), keys[s + hits]], axis=1)
 
 
@@ -186,19 +192,20 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             rest = prefix_length(int(total), threshold) - (int(total) - (e - s))
             if rest > 0:
                 counts = np.bincount((mine >> 7) & (GROUPS - 1), minlength=GROUPS)
-                rows.append((int(keys[s]), int(total), (mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32), mine[:rest], counts.astype(np.int16)))
+                rows.append((int(keys[s]), int(total), int(total) - (e - s), (mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32), mine[:rest], counts.astype(np.int16)))
         for at in range(0, len(rows), 5_000):
-            yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "shared", "prefix", "counts"])
+            yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "alone", "shared", "prefix", "counts"])
 
     posted = texts.mapInPandas(post, "bucket int, items array<bigint>, keys array<bigint>, n array<int>").repartitionById(buckets, F.col("bucket"))
     common = posted.mapInPandas(shared, "bucket int, items array<bigint>, keys array<bigint>, n array<int>, df array<int>").repartitionById(buckets, F.col("bucket"))
-    alive = cut(common.mapInPandas(survivors, "key long, n int, shared array<int>, prefix array<bigint>, counts array<smallint>"))
+    alive = cut(common.mapInPandas(survivors, "key long, n int, alone int, shared array<int>, prefix array<bigint>, counts array<smallint>"))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             size = np.array([len(p) for p in pdf["prefix"]], dtype=np.int64)
             tokens = _flat(pdf["prefix"])
             row = np.repeat(np.arange(len(pdf)), size)
+            rank = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(pdf["alone"].to_numpy(dtype=np.int64), size)
             bucket = (tokens & 0x7FFFFFFF) % buckets
             order = np.lexsort((row, bucket))
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -208,14 +215,15 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
                 mine = order[ends[b] : ends[b + 1]]
                 if len(mine):
                     docs, place = np.unique(row[mine], return_inverse=True)  # a text goes to a bucket once
-                    out.append((b, tokens[mine], place.astype(np.int32), keys[docs], n[docs].astype(np.int32), np.concatenate([counts[d] for d in docs]).astype(np.int16)))
-            yield pd.DataFrame(out, columns=["bucket", "tokens", "place", "keys", "n", "counts"])
+                    out.append((b, tokens[mine], rank[mine].astype(np.int32), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), np.concatenate([counts[d] for d in docs]).astype(np.int16)))
+            yield pd.DataFrame(out, columns=["bucket", "tokens", "ranks", "place", "keys", "n", "counts"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, place, keys, n, counts, base = [], [], [], [], [], 0
+        tokens, ranks, place, keys, n, counts, base = [], [], [], [], [], [], 0
         for pdf in batches:
-            for t, p, k, m, c in zip(pdf["tokens"], pdf["place"], pdf["keys"], pdf["n"], pdf["counts"], strict=True):
+            for t, r, p, k, m, c in zip(pdf["tokens"], pdf["ranks"], pdf["place"], pdf["keys"], pdf["n"], pdf["counts"], strict=True):
                 tokens.append(t)
+                ranks.append(r)
                 place.append(np.asarray(p, dtype=np.int64) + base)
                 keys.append(k)
                 n.append(m)
@@ -223,11 +231,11 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
                 base += len(k)
         if not tokens:
             return
-        token, at = np.concatenate(tokens), np.concatenate(place)
+        token, rank, at = np.concatenate(tokens), np.concatenate(ranks).astype(np.int64), np.concatenate(place)
         key, size, vector = np.concatenate(keys), np.concatenate(n).astype(np.int64), np.concatenate(counts)
         # counts are of shared shingles only, which is all that two texts can have in common
         found, held = [], 0
-        for pairs in _bound_pairs(token, key[at], size[at], vector[at], threshold):
+        for pairs in _bound_pairs(token, rank, key[at], size[at], vector[at], threshold):
             pairs = np.sort(pairs, axis=1)
             found.append(pairs[pairs[:, 0] != pairs[:, 1]])
             held += len(found[-1])
@@ -239,8 +247,8 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             whole = np.unique(np.concatenate(found), axis=0)
             yield pd.DataFrame({"a": whole[:, 0], "b": whole[:, 1]})
 
-    schema = "bucket int, tokens array<bigint>, place array<int>, keys array<bigint>, n array<int>, counts array<smallint>"
-    sharded = alive.select("key", "n", "prefix", "counts").mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
+    schema = "bucket int, tokens array<bigint>, ranks array<int>, place array<int>, keys array<bigint>, n array<int>, counts array<smallint>"
+    sharded = alive.select("key", "n", "alone", "prefix", "counts").mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
     pairs = cut(sharded.mapInPandas(search, "a long, b long").distinct())
     return alive.select("key", "n", "shared"), pairs
 
