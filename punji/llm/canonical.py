@@ -143,7 +143,9 @@ def map_values(values: DataFrame, references: DataFrame) -> DataFrame:
     if len(listed) == 50 * MAX_REFERENCES:
         raise ValueError("the reference list is beyond what the driver may hold; map against parts of it")
     shards = [sorted(listed)[i : i + MAX_REFERENCES] for i in range(0, len(listed), MAX_REFERENCES)]
-    distinct = values.select("value").where("value is not null").distinct()
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit number, as small values cost much here and would be merged into one task by their bytes
+    distinct = values.select("value").where("value is not null").repartition(parts, "value").distinct()
 
     def winners(batches: Iterator[pd.DataFrame], shard) -> Iterator[pd.DataFrame]:
         matcher = Matcher(shard)
