@@ -95,6 +95,15 @@ def suspect_pattern() -> str:
     return "[�" + "".join(f"\\x{{{ord(c):X}}}" for c in heads) + "]|" + LOST
 
 
+# A much cheaper test, implied by it: anything but ASCII, Telugu and typographic signs, or a lost letter.
+UNUSUAL = "[^\\x00-\\x7F\u0C00-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|^\\?|\\s\\?|[A-Za-z\u0C00-\u0C7F]\\?[A-Za-z\u0C00-\u0C7F]"
+
+
+def suspicious(column) -> F.Column:
+    """Whether a text can have any evidence."""
+    return column.rlike(UNUSUAL) & column.rlike(suspect_pattern())
+
+
 def evidence(text: str) -> tuple[str, int, int]:
     """(chains that decode the most units, how many that is, how many lost letters), both counts up to MOST."""
     counts = {name: codec(name).count(text) for name in CODECS if codec(name).head.search(text)}
@@ -166,9 +175,8 @@ def garbled(records: DataFrame) -> DataFrame:
     null and empty texts are clean; a null source is a pool of its own. Evidence is summed up per pool by its
     signature (at most some hundred of them), so no pool is gathered row by row.
     """
-    pattern = suspect_pattern()
     rows = records.select("field", F.coalesce("source", F.lit("")).alias("source"), F.col("id").cast("string").alias("id"), "text")
-    suspect = rows.where(F.col("text").rlike(pattern))
+    suspect = rows.where(suspicious(F.col("text")))
     seen = suspect.mapInPandas(_evidence_of, "field string, source string, id string, chains string, units int, lost int").where("units > 0 or lost > 0").dropDuplicates(["field", "id"])
     seen = cut(seen)
     plain = rows.groupBy("field", "source").agg(F.count("*").alias("n")).select("field", "source", F.lit("").alias("chains"), F.lit(0).alias("units"), F.lit(0).alias("lost"), "n")
@@ -187,7 +195,7 @@ def repaired(records: DataFrame) -> DataFrame:
             pdf["text"] = [t if c == "lost" else repair(t, c) for t, c in zip(pdf["text"], pdf["chain"], strict=True)]
             yield pdf
 
-    texts = records.where(F.col("text").rlike(suspect_pattern())).select("field", F.col("id").cast("string").alias("id"), "text").dropDuplicates(["field", "id"])
+    texts = records.where(suspicious(F.col("text"))).select("field", F.col("id").cast("string").alias("id"), "text").dropDuplicates(["field", "id"])
     return found.select("field", "id", "chain").join(texts, ["field", "id"]).mapInPandas(fix, "field string, id string, chain string, text string")
 
 

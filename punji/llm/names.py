@@ -204,7 +204,9 @@ def name_links(names: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
     )
     wa, wb = (weighted.select(F.col("sig").alias(s), F.col("ws").alias(f"w{s}")) for s in "ab")
-    verified = pairs.join(wa, "a").join(wb, "b").select("a", "b", "wa", "wb").mapInPandas(_verify, "a string, b string, kind string, score double")
+    # pairs are small and dear: an explicit number of tasks, not one by bytes
+    spread = pairs.join(wa, "a").join(wb, "b").select("a", "b", "wa", "wb").repartition(4 * int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    verified = spread.mapInPandas(_verify, "a string, b string, kind string, score double")
     return signed, cut(verified)
 
 
