@@ -41,7 +41,7 @@ SUSPECT = (
     "|[అ-ౌ][౦oO0○◦]|ౖ"
 )
 # A much cheaper test that SUSPECT implies: long classes cost the JVM one call a member for every character.
-UNUSUAL = "[^\\x00-\\x7F\u0C00-\u0C55\u0C57-\u0C65\u0C67-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|[\u0C05-\u0C4C][oO0]"
+UNUSUAL = "[^\\x00-\\x9F\u00A1-\u00AC\u00AE-\u00FF\u0C00-\u0C55\u0C57-\u0C65\u0C67-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|[\u0C05-\u0C4C][oO0]"
 
 
 def suspicious(column) -> F.Column:
@@ -49,6 +49,11 @@ def suspicious(column) -> F.Column:
     return column.rlike(UNUSUAL) & column.rlike(SUSPECT)
 
 
+def unusual(column) -> F.Column:
+    """The cheap test for whole texts, before they are cut into words."""
+    return column.rlike(UNUSUAL)
+
+
 def plain_look(text: str) -> str:
     """``text`` with look-alikes mapped to the ordinary characters, in composed form.
 
@@ -117,7 +122,7 @@ def odd_records(records: DataFrame) -> DataFrame:
     from their mapped form, so the others needn't be joined.
     """
     changed = canonical_map(records)
-    held = _words(records.where(suspicious(F.col("text")))).where(suspicious(F.col("word"))).select("field", F.col("id").cast("string").alias("id"), "word").distinct()
+    held = _words(records.where(unusual(F.col("text")))).where(suspicious(F.col("word"))).select("field", F.col("id").cast("string").alias("id"), "word").distinct()
     return held.join(changed, "word").select("field", "id").distinct()
 
 
@@ -127,7 +132,7 @@ def unified(records: DataFrame) -> DataFrame:
     Words are joined back in their order; the blanks between them stay as they were.
     """
     changed = canonical_map(records)
-    odd = records.where(suspicious(F.col("text"))).select("field", F.col("id").cast("string").alias("id"), "text").dropDuplicates(["field", "id"])
+    odd = records.where(unusual(F.col("text"))).select("field", F.col("id").cast("string").alias("id"), "text").dropDuplicates(["field", "id"])
     pieces = odd.select("field", "id", F.posexplode(F.regexp_extract_all("text", F.lit(r"[^ \t\n\r]+|[ \t\n\r]+"), F.lit(0))).alias("at", "word"))
     joined = pieces.join(changed, "word", "left").groupBy("field", "id").agg(
         F.array_sort(F.collect_list(F.struct("at", F.coalesce("canonical", "word").alias("w")))).alias("ws"), F.max(F.col("canonical").isNotNull()).alias("odd")
