@@ -97,7 +97,7 @@ def suspect_pattern() -> str:
 
 # A much cheaper test, implied by it: anything but Telugu, typographic signs and those of Latin-1 that begin no unit,
 # or a lost letter.
-UNUSUAL = "[^\\x00-\u00B3\u00B5-\u00C1\u00C6-\u00D2\u00D5-\u00DF\u00E1\u00E3-\u00EE\u00F0-\u00FF\u0C00-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|^\\?|\\s\\?|[A-Za-z\u0C00-\u0C7F]\\?[A-Za-z\u0C00-\u0C7F]"
+UNUSUAL = "[^\\x00-\u00AB\u00AD-\u00B3\u00B5-\u00C1\u00C6-\u00D2\u00D5-\u00DF\u00E1\u00E3-\u00EE\u00F0-\u00FF\u0C00-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|^\\?|\\s\\?|[A-Za-z\u0C00-\u0C7F]\\?[A-Za-z\u0C00-\u0C7F]"
 
 
 def suspicious(column) -> F.Column:

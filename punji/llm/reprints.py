@@ -132,6 +132,7 @@ def _flat(column) -> np.ndarray:
 
 def _blocks(bucket: np.ndarray, count: int, **columns: np.ndarray) -> pd.DataFrame:
     """One row for each bucket, the columns cut into arrays; the order within a bucket is kept."""
+    bucket = bucket.astype(np.int16 if count < 1 << 15 else np.int32)  # sorted by radix where it is short
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(count + 1))
     rows = [b for b in range(count) if ends[b] < ends[b + 1]]
@@ -139,7 +140,7 @@ def _blocks(bucket: np.ndarray, count: int, **columns: np.ndarray) -> pd.DataFra
 
 
 def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(key, n, shared array<int>) of the texts that can have a partner, and the pairs (a, b) the R-tree leaves.
+    """(key, n, shared array<int>: the 32-bit tails of its shared shingles) of the texts that can have a partner, and the pairs (a, b) the R-tree leaves.
 
     ``texts``: (key long, text); equal keys stand for equal texts and count once.
     """
@@ -192,7 +193,7 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             rest = prefix_length(int(total), threshold) - (int(total) - (e - s))
             if rest > 0:
                 counts = np.bincount((mine >> 7) & (GROUPS - 1), minlength=GROUPS)
-                rows.append((int(keys[s]), int(total), int(total) - (e - s), (mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32), mine[:rest], counts.astype(np.int16)))
+                rows.append((int(keys[s]), int(total), int(total) - (e - s), np.unique((mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32)), mine[:rest], counts.astype(np.int16)))
         for at in range(0, len(rows), 5_000):
             yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "alone", "shared", "prefix", "counts"])
 
@@ -262,7 +263,7 @@ def similar_keys(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            both = np.array([len(np.intersect1d(x, y)) for x, y in zip(pdf["sa"], pdf["sb"], strict=True)], dtype=float)
+            both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(pdf["sa"], pdf["sb"], strict=True)], dtype=float)
             alike = both / np.maximum(pdf["na"].to_numpy() + pdf["nb"].to_numpy() - both, 1)
             yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "similarity": alike})[alike >= threshold - 1e-12]
 
