@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from punji.plans import archive_queries
+
 
 def entry(spark: SparkSession, sf: str) -> DataFrame:
-    raise NotImplementedError
+    """Flagship: ranked article search over four columns."""
+    return archive_queries.QUERIES["article_search_exact"](spark, sf)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(archive_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(archive_queries.SQL)
