@@ -123,5 +123,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in listed}
 
 
+_WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+_P5 = """with a as (select distinct id, coalesce(title, '') as title, body from articles where body is not null),
+    w as (select id, list_filter(regexp_split_to_array(lower(title || ' ' || body), '[ \\t\\n\\r]+'), lambda x: x <> '') as ws from a
+      where len(list_filter(regexp_split_to_array(body, '[ \\t\\n\\r]+'), lambda x: x <> '')) >= 20),
+    s as (select id, unnest(list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) as g from w),
+    n as (select id, count(*) as n from s group by id),
+    o as (select x.id as a, y.id as b, count(*) as c from s x join s y on x.g = y.g and x.id < y.id group by x.id, y.id)
+    select a as article_a, b as article_b from o join n p on p.id = a join n q on q.id = b where c >= 0.6 * (p.n + q.n - c)"""
+
+_P6 = f"""with p as (select distinct id, split_part(edition_id, '-', 1) as pub, full_text from pages where full_text is not null),
+    l as (select id, pub, generate_subscripts(string_split(full_text, chr(10)), 1) as line_no, unnest(string_split(full_text, chr(10))) as x from p),
+    k as (select id, pub, line_no, trim(regexp_replace(regexp_replace(lower(x), '\\p{{Nd}}+', '0', 'g'), '{_WHITE}', ' ', 'g')) as x from l),
+    t as (select pub, count(*) as total from p group by pub), c as (select pub, x, count(distinct id) as n from k where x <> '' group by pub, x)
+    select k.id::int as page_id, k.line_no::int as line_no from k join c using (pub, x) join t using (pub) where c.n >= 3 and c.n >= 0.1 * t.total"""
+
+_P8 = """with d as (select distinct doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}]+') as ws from documents where text is not null),
+    i as (select distinct item_id, regexp_extract_all(lower(passage), '[\\p{L}\\p{M}\\p{N}]+') as ws from eval_items where passage is not null),
+    dw as (select doc_id, unnest(list_transform(range(1, len(ws) - 8), lambda k: array_to_string(ws[k:k + 9], ' '))) as g from d where len(ws) >= 10),
+    iw as (select item_id, unnest(list_transform(range(1, len(ws) - 8), lambda k: array_to_string(ws[k:k + 9], ' '))) as g from i where len(ws) >= 10)
+    select distinct doc_id, item_id from dw join iw using (g)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": _P5, "p6_found": _P6, "p8_found": _P8}
