@@ -51,7 +51,7 @@ def drop_bands(blocks: DataFrame, height: float = 842.0, header: float = 0.12, f
 def page_ends(entries: DataFrame, total: str = "total_pages") -> DataFrame:
     """``entries`` (edition_id, position, start_page, total) with end_page: before the next start, at least the own."""
     later = F.lead("start_page").over(Window.partitionBy("edition_id").orderBy("position"))
-    return entries.withColumn("end_page", F.coalesce(F.greatest(F.col("start_page"), later - 1), F.col(total)))
+    return entries.withColumn("end_page", F.when(later.isNotNull(), F.greatest(F.col("start_page"), later - 1)).otherwise(F.col(total)))
 
 
 def clamp_pages(start: Column, end: Column, total: Column) -> tuple[Column, Column]:

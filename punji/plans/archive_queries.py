@@ -300,8 +300,9 @@ def blocks_outside_bands(s, d):
 
 
 @registered(
-    f"""with {ED}, {AR} select a.id, coalesce(greatest(start_page, lead(start_page) over (partition by edition_id order by start_page, a.id) - 1), total_pages) as end_page
-        from a join (select id as eid, total_pages from e) on a.edition_id = eid where start_page is not null"""
+    f"""with {ED}, {AR} select id, case when later is not null then greatest(start_page, later - 1) else total_pages end as end_page
+        from (select a.id, start_page, total_pages, lead(start_page) over (partition by edition_id order by start_page, a.id) as later
+        from a join (select id as eid, total_pages from e) on a.edition_id = eid where start_page is not null)"""
 )
 def page_ranges(s, d):
     from pyspark.sql import Window
