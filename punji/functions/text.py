@@ -34,7 +34,8 @@ def ascii_lower(c: Column) -> Column:
 
 def fold(c: Column) -> Column:
     """Lower case without Latin marks; Telugu signs stay."""
-    return F.translate(F.lower(c), FOLD_FROM.lower(), FOLD_TO.lower())
+    low = F.lower(c)
+    return F.when(low.rlike(r"[\x{C0}-\x{24F}]"), F.translate(low, FOLD_FROM.lower(), FOLD_TO.lower())).otherwise(low)
 
 
 def tokens(c: Column) -> Column:
