@@ -172,13 +172,22 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
         kept = df > 1
         items, keys, n, df = items[kept], keys[kept], n[kept], df[kept]
         order = np.argsort(keys, kind="stable")
-        yield _blocks((keys[order] & 0x7FFFFFFF) % buckets, buckets, items=items[order], keys=keys[order], n=n[order], df=np.minimum(df[order], 0x7FFFFFFF).astype(np.int32))
+        if not len(items):
+            return
+        # the bucket stands for the lower bits: half of each hash is enough beside it
+        source = int((items[0] & 0x7FFFFFFF) % buckets)
+        if ((items & 0x7FFFFFFF) % buckets != source).any():
+            raise RuntimeError("a partition holds more than one bucket")
+        upper = (items[order] >> 32).astype(np.int32)
+        blocks = _blocks((keys[order] & 0x7FFFFFFF) % buckets, buckets, items=upper, keys=keys[order], n=n[order], df=np.minimum(df[order], 0x7FFFFFFF).astype(np.int32))
+        yield blocks.assign(source=np.int32(source))
 
     def survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = list(batches)
         if not held:
             return
-        items, keys, n, df = (np.concatenate([_flat(p[c]) for p in held]) for c in ("items", "keys", "n", "df"))
+        items = np.concatenate([_flat([(np.int64(b) << 32) | (np.asarray(x).astype(np.int64) & 0xFFFFFFFF) for b, x in zip(p["source"], p["items"], strict=True)]) for p in held])
+        keys, n, df = (np.concatenate([_flat(p[c]) for p in held]) for c in ("keys", "n", "df"))
         held.clear()
         order = np.lexsort((items, df, keys))
         items, keys, n = items[order], keys[order], n[order]
@@ -198,7 +207,7 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "alone", "shared", "prefix", "counts"])
 
     posted = texts.mapInPandas(post, "bucket int, items array<bigint>, keys array<bigint>, n array<int>").repartitionById(buckets, F.col("bucket"))
-    common = posted.mapInPandas(shared, "bucket int, items array<bigint>, keys array<bigint>, n array<int>, df array<int>").repartitionById(buckets, F.col("bucket"))
+    common = posted.mapInPandas(shared, "bucket int, items array<int>, keys array<bigint>, n array<int>, df array<int>, source int").repartitionById(buckets, F.col("bucket"))
     alive = cut(common.mapInPandas(survivors, "key long, n int, alone int, shared array<int>, prefix array<bigint>, counts array<smallint>"))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
