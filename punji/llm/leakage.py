@@ -91,32 +91,63 @@ def phrase_hits(shard: Shard, passage: np.ndarray, window: int = WINDOW) -> set[
 
 
 def near_hits(shard: Shard, terms: np.ndarray, span: int = NEAR_SPAN) -> set[int]:
-    """Documents in which all ``terms`` stand within ``span`` words, from the rarest term's positions."""
-    rarest = terms[int(np.argmin(shard.df[terms]))]
-    at = shard.positions(rarest)
-    ok = np.ones(len(at), dtype=bool)
-    doc = shard.document(at)
-    for term in terms:
-        if term == rarest or not ok.any():
-            continue
+    """Documents in which all ``terms`` stand in one stretch of ``span`` words, from the shard's rarest term's positions."""
+    if not shard.df[terms].all():
+        return set()
+    at = shard.positions(terms[int(np.argmin(shard.df[terms]))])
+    for term in terms:  # every term near enough to the rarest thins the list before stretches are compared
         where = shard.positions(term)
-        if not len(where):
-            return set()
         right = np.searchsorted(where, at)
-        best = np.full(len(at), span + 1)
-        for idx in (right - 1, right):
-            good = (idx >= 0) & (idx < len(where))
-            other = where[np.clip(idx, 0, len(where) - 1)]
-            best = np.minimum(best, np.where(good & (shard.document(other) == doc), np.abs(other - at), span + 1))
-        ok &= best <= span
-    return set(doc[ok].tolist())
+        before, after = where[np.maximum(right - 1, 0)], where[np.minimum(right, len(where) - 1)]
+        at = at[(np.abs(before - at) < span) | (np.abs(after - at) < span)]
+        if not len(at):
+            return set()
+    doc = shard.document(at)
+    begin, end = np.concatenate(([0], shard.ends))[doc], shard.ends[doc]
+    pos = at[:, None] + np.arange(1 - span, span)[None, :]
+    stream = np.where((pos >= begin[:, None]) & (pos < end[:, None]), shard.stream[np.clip(pos, 0, len(shard.stream) - 1)], -2)
+    ok = np.ones((len(at), span), dtype=bool)  # for each stretch that holds the position
+    for term in terms:
+        total = np.cumsum(np.pad(stream == term, ((0, 0), (1, 0))), axis=1)
+        ok &= total[:, span:] > total[:, :-span]
+    return set(doc[ok.any(axis=1)].tolist())
+
+
+def document_frequencies(documents: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
+    """In how many documents each term of ``vocabulary`` occurs, over all of ``documents``; a repeated doc_id counts once."""
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary = shared.value
+        for pdf in batches:
+            terms = [sorted(vocabulary[w] for w in set(words(t)) if w in vocabulary) for t in pdf["text"]]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "terms": terms})
+
+    counted = (
+        documents.where("text is not null").select("doc_id", "text").mapInPandas(held, "doc_id long, terms array<int>")
+        .groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms"))
+        .select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    )
+    df = np.zeros(len(vocabulary), dtype=np.int64)
+    for term, n in counted.collect():  # bounded by the vocabulary
+        df[term] = n
+    return df
+
+
+def rarest_terms(passage: np.ndarray, df: np.ndarray, near: int) -> np.ndarray:
+    """The ``near`` terms of ``passage`` that the fewest documents hold, ties to the earlier in it; empty if it has fewer.
+
+    Words that no document holds are passed over: they can't be found, nor tell one document from another.
+    """
+    distinct = np.array(list(dict.fromkeys(passage[df[passage] > 0].tolist())), dtype=np.int64)
+    return distinct[np.argsort(df[distinct], kind="stable")[:near]] if len(distinct) >= near else distinct[:0]
 
 
 def leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, near: int | None = None) -> DataFrame:
     """(doc_id, item_id): documents that contain ``window`` successive words of an item's passage in succession.
 
-    With ``near``, also (kind = near) documents holding the item's ``near`` rarest words within NEAR_SPAN words; then
-    the result has a column kind. Null or short texts and passages match nothing. The items are the stated query set:
+    With ``near``, also (kind = near) documents holding the item's ``near`` rarest words in one stretch of NEAR_SPAN
+    words, rare being what few of all documents hold; then the result has a column kind. Null or short texts and passages match nothing. The items are the stated query set:
     they are collected up to MAX_ITEMS and searched in blocks of that size beyond. Repeated rows give one result row.
     """
     spark = documents.sparkSession
@@ -129,6 +160,8 @@ def leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, near: in
         listed = sorted((r[0], words(r[1])) for r in part.where("passage is not null").select("item_id", "passage").distinct().collect())
         vocabulary: dict[str, int] = {}
         coded = [(item, np.array([vocabulary.setdefault(w, len(vocabulary)) for w in ws], dtype=np.int32)) for item, ws in listed if ws]
+        df = document_frequencies(documents, vocabulary) if near and coded else None
+        coded = [(item, passage, rarest_terms(passage, df, near) if near else passage[:0]) for item, passage in coded]
         shared = spark.sparkContext.broadcast((vocabulary, coded))
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -137,12 +170,10 @@ def leaks(documents: DataFrame, items: DataFrame, window: int = WINDOW, near: in
                 shard = Shard(pdf["text"], vocabulary)
                 ids = pdf["doc_id"].to_numpy()
                 rows = []
-                for item, passage in coded:
+                for item, passage, rare in coded:
                     exact = phrase_hits(shard, passage, window)
                     rows += [(ids[d], item, "exact") for d in exact]
-                    if near and len(set(passage.tolist())) >= near:
-                        distinct = np.unique(passage)
-                        rare = distinct[np.argsort(shard.df[distinct], kind="stable")[:near]]
+                    if len(rare):
                         rows += [(ids[d], item, "near") for d in near_hits(shard, rare) - exact]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "kind"])
 

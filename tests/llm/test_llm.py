@@ -227,6 +227,36 @@ def test_leaks_against_brute_force(spark):
     assert leakage.leaks(d.limit(0), e).count() == 0 and leakage.leaks(d, e.limit(0)).count() == 0
 
 
+def test_near_leaks_do_not_depend_on_batches(spark):
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(80)]
+    items = [(i, " ".join(rng.sample(vocabulary, rng.randint(3, 12)) + ["nowhere"] * (i % 2))) for i in range(20)]
+    docs = []
+    for i in range(120):
+        text = [rng.choice(vocabulary[: rng.choice([40, 80])]) for _ in range(rng.randint(0, 40))]
+        source = items[rng.randrange(20)][1].replace("nowhere", "").split()
+        for w in rng.sample(source, len(source)):  # the passage's words in another order, wide or close together
+            text += [w] + [rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 4, 12]))]
+        docs.append((i, " ".join(text)))
+    docs += [(200, None), (201, "")] + [docs[5]] * 30
+    texts = {d: leakage.words(t or "") for d, t in docs}
+    df = {w: sum(w in t for t in texts.values()) for w in vocabulary}
+    want = set()
+    for i, p in items:
+        rare = sorted((w for w in dict.fromkeys(leakage.words(p)) if df.get(w)), key=lambda w: df[w])[:4]
+        want |= {(d, i) for d, t in texts.items() if len(rare) == 4 and any(set(rare) <= set(t[k : k + leakage.NEAR_SPAN]) for k in range(len(t)))}
+    e = spark.createDataFrame(items, "item_id long, passage string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size, parts in ((1, 1), (7, 3), (10_000, 1), (10_000, 5)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+            d = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+            assert set(rows(leakage.leaks(d, e, near=4), "doc_id", "item_id")) == want, (size, parts)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert any(i % 2 for _, i in want) and len(want) < 20 * len(docs) // 2
+
+
 # p9
 
 
