@@ -208,6 +208,26 @@ def name_links(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     return signed, cut(verified)
 
 
+def _final_parts(arcs: DataFrame) -> DataFrame:
+    """(from, to) for every ``from`` of ``arcs`` with each part at the end of a way along them.
+
+    Where every way runs in a circle, the parts stand for themselves and for those that arcs lead to.
+    """
+    arcs = arcs.select("from", "to")
+    inner = cut(arcs.select("from").distinct())
+    reached, fresh = arcs, arcs.join(inner.withColumnRenamed("from", "to"), "to", "left_semi").select("from", "to")
+    while True:  # a round for each further arc of the longest way; mostly the short form fits the end directly
+        onward = fresh.join(arcs.select(F.col("from").alias("to"), F.col("to").alias("next")), "to").where("from <> next")
+        fresh = cut(onward.select("from", F.col("next").alias("to")).distinct().join(reached, ["from", "to"], "left_anti"))
+        if fresh.isEmpty():
+            break
+        reached = cut(reached.unionByName(fresh))
+    ends = reached.join(inner.withColumnRenamed("from", "to"), "to", "left_anti").select("from", "to")
+    circling = cut(inner.join(ends.select("from").distinct(), "from", "left_anti"))
+    into = arcs.join(circling.withColumnRenamed("from", "to"), "to", "left_semi").select("from", "to")
+    return ends.unionByName(into).unionByName(circling.select("from", F.col("from").alias("to")))
+
+
 def name_entities(names: DataFrame) -> DataFrame:
     """(name, entity): every distinct name with each entity it can stand for; a name without links is its own."""
     signed, links = name_links(names)
@@ -224,10 +244,8 @@ def name_entities(names: DataFrame) -> DataFrame:
         .join(part.select(F.col("sig").alias("more"), F.col("part").alias("to")), "more")
         .where(F.col("from") != F.col("to")).groupBy("from", "to").agg(F.max("score").alias("score"))
     )
-    inner = arcs.select("from").distinct()
-    ends = arcs.join(inner.withColumnRenamed("from", "to"), "to", "left_anti").select("from", "to")
-    own = part.select("part").distinct().join(ends.select(F.col("from").alias("part")).distinct(), "part", "left_anti").select("part", F.col("part").alias("entity"))
-    stands = ends.select(F.col("from").alias("part"), F.col("to").alias("entity")).unionByName(own)
+    stands = _final_parts(arcs).unionByName(part.select(F.col("part").alias("from"), F.col("part").alias("to")).join(arcs.select("from").distinct(), "from", "left_anti"))
+    stands = stands.select(F.col("from").alias("part"), F.col("to").alias("entity")).distinct()
     return signed.join(part, "sig").join(stands, "part").select("name", "entity").distinct()
 
 

@@ -41,6 +41,21 @@ def test_names_empty_and_malformed(spark):
     assert names.same_name_pairs(names.written_names(catalog, articles)).count() == 0
 
 
+def test_short_forms_of_short_forms(spark, monkeypatch):
+    # the first is short for the second, that for the third, with a slip each time that together are too many
+    chain = ["R. Kondapi", "Ramana Kondapa", "Ramana Venkata Kandapa"]
+    df = spark.createDataFrame([(n,) for n in [*chain, "Sita Mulukutla", "Gopala Peddinti"]], "name string")
+    assert rows(names.same_name_pairs(df), "name_a", "name_b") == [(chain[0], chain[1]), (chain[0], chain[2]), (chain[1], chain[2])]
+    assert {r["entity"] for r in names.name_entities(df).collect() if r["name"] in chain} == {" ".join(names.name_tokens(chain[2]))}
+    # s > p, p > q > r > p in a circle, t > u, t > p and the full spelling v apart
+    links = [("s", "p"), ("p", "q"), ("q", "r"), ("r", "p"), ("t", "u"), ("t", "p")]
+    signed = spark.createDataFrame([(n, n) for n in "pqrstuv"], "name string, sig string")
+    verified = spark.createDataFrame([(a, b, "a_short", 1.0) for a, b in links], "a string, b string, kind string, score double")
+    monkeypatch.setattr(names, "name_links", lambda _: (signed, verified))
+    pairs = set(rows(names.same_name_pairs(df), "name_a", "name_b"))
+    assert {tuple(sorted(x)) for x in links} <= pairs and not any(set(x) & {"v"} or set(x) == {"s", "u"} for x in pairs)
+
+
 # p2
 
 
