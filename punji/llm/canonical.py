@@ -105,7 +105,9 @@ class Matcher:
         if key not in self._found:
             if len(self._found) > 100_000:
                 self._found.clear()
-            self._found[key] = [(0, key)] if key in self.owner else self.tree.within(key, tolerance(key))
+            # nothing costs less than a whole name met exactly, but a form with a handicap can be beaten by one nearby
+            exact = any(handicap == 0 for handicap, _, _ in self.owner.get(key, ()))
+            self._found[key] = [(0, key)] if exact else self.tree.within(key, tolerance(key))
         return self._found[key]
 
     def best(self, value: str) -> tuple[float, int] | None:
@@ -128,8 +130,6 @@ class Matcher:
                     cost = d + handicap + min(levenshtein(typed, name), 50) / 100
                     if winner is None or (cost, ref) < winner:
                         winner = (cost, ref)
-            if winner is not None and winner[0] < 1:
-                break
         return winner
 
 

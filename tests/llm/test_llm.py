@@ -100,6 +100,16 @@ def test_map_values(spark):
     assert {r for _, r in rows(canonical.map_values(values, refs.limit(0)), "value", "reference_id")} == {0}
 
 
+def test_left_out_words_hide_no_entry(spark, monkeypatch):
+    # typed like the first entry without a word, but the second is one letter away; the fourth is closer in turned order
+    refs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "beta gamna"), (3, "siiiiiitaaaaaa duuuuuurgaaaaaa"), (4, "durga sita")], "reference_id int, name string")
+    cases = {"beta gamma": 2, "alpha beta gamma": 1, "sita durga": 4}
+    values = spark.createDataFrame([(v,) for v in cases], "value string")
+    for most in (20_000, 2, 1):  # entries in a shard
+        monkeypatch.setattr(canonical, "MAX_REFERENCES", most)
+        assert dict(rows(canonical.map_values(values, refs), "value", "reference_id")) == cases, most
+
+
 # p4
 
 
