@@ -22,7 +22,6 @@ from punji.runtime import cut
 
 TOKENIZER = os.environ.get("PUNJI_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")  # a sentencepiece model
 SHARD_ITEMS = 20_000  # items in one packing task
-PASSES = 4  # rounds of local search over the underfull containers
 
 _models: dict[str, object] = {}
 _lengths: dict[str, dict[str, int]] = {}
@@ -99,15 +98,16 @@ def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int, passes: int = PASSES) -> list[list[int]]:
+def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[list[int]]:
     """Exchanges between underfull bins that increase the sum of squared fills; empty bins are dropped.
 
     The emptiest bin gives: an item moves to the fullest bin that has room, or is exchanged for a smaller item, or for
-    two items that are smaller together, of a bin at least as full. Stops when a pass changes nothing.
+    two items of one bin that are smaller together. Stops when a pass over all underfull bins changes nothing.
     """
     fill = np.array([sizes[b].sum() for b in bins], dtype=np.int64)
-    for _ in range(passes):
-        under = [b for b in np.argsort(fill, kind="stable") if bins[b] and fill[b] < capacity]
+    changed = True
+    while changed:
+        under = np.array([b for b in np.argsort(fill, kind="stable") if bins[b] and fill[b] < capacity], dtype=np.int64)
         if len(under) < 2:
             break
         changed = False
@@ -116,69 +116,69 @@ def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int, passes
         size = sizes[index].astype(np.int64)
         home = np.array([b for b in under for _ in bins[b]], dtype=np.int64)
         place = {i: k for k, i in enumerate(items)}
-        for donor in under:
-            if capacity - fill[donor] <= capacity // 200:  # what remains are bins as good as full
-                break
+        held = np.ones(len(under), dtype=bool)  # bins that aren't empty
+        where = {int(b): k for k, b in enumerate(under)}
+        sums = [_pair_sums(bins[b], sizes, int(b)) for b in under]
+        pairs = None
+        for donor in where:
             again = True
-            while again and bins[donor]:
+            while again and bins[donor] and fill[donor] < capacity:  # a full bin has nothing to gain
                 again = False
                 for i in sorted(bins[donor], key=lambda i: -sizes[i]):
                     x = int(sizes[i])
-                    others = np.array([b for b in under if b != donor and bins[b]], dtype=np.int64)
-                    if not len(others):
-                        break
-                    room = capacity - fill[others]
-                    fits = np.flatnonzero((room >= x) & (fill[others] > fill[donor] - x))
+                    room = capacity - fill[under]
+                    fits = np.flatnonzero(held & (room >= x) & (fill[under] > fill[donor] - x) & (under != donor))
+                    back = []
                     if len(fits):
-                        to = int(others[fits[np.argmin(room[fits])]])
-                        bins[donor].remove(i)
-                        bins[to].append(i)
-                        fill[donor] -= x
-                        fill[to] += x
-                        home[place[i]] = to
-                        again = changed = True
-                        break
-                    gain = x - size
-                    good = (gain > 0) & (gain <= capacity - fill[home]) & (home != donor) & (fill[home] > fill[donor] - gain)
-                    best = int(np.argmax(np.where(good, gain, -1)))
-                    if good[best]:
-                        j, to = int(index[best]), int(home[best])
-                        back = [j]
+                        to = int(under[fits[np.argmin(room[fits])]])
                     else:
-                        to, back = _pair(bins, sizes, fill, others, donor, x, capacity)
-                    if back:
-                        y = int(sum(sizes[k] for k in back))
-                        bins[donor].remove(i)
-                        bins[donor] += back
-                        for k in back:
-                            bins[to].remove(k)
-                            home[place[k]] = donor
-                        bins[to].append(i)
-                        home[place[i]] = to
-                        fill[donor] -= x - y
-                        fill[to] += x - y
-                        again = changed = True
-                        break
-        if not changed:
-            break
+                        k = _largest_gain(x - size, home, fill, donor, capacity)
+                        if k >= 0:
+                            to, back = int(home[k]), [int(index[k])]
+                        else:
+                            if pairs is None:
+                                pairs = np.concatenate(sums, axis=1)
+                            k = _largest_gain(x - pairs[0], pairs[1], fill, donor, capacity)
+                            if k < 0:
+                                continue
+                            to, back = int(pairs[1, k]), [int(j) for j in pairs[2:, k]]
+                    gain = x - int(sum(sizes[j] for j in back))
+                    bins[donor].remove(i)
+                    bins[donor] += back
+                    for j in back:
+                        bins[to].remove(j)
+                        home[place[j]] = donor
+                    bins[to].append(i)
+                    home[place[i]] = to
+                    fill[donor] -= gain
+                    fill[to] += gain
+                    held[where[donor]] = bool(bins[donor])
+                    for b in (donor, to):
+                        sums[where[b]] = _pair_sums(bins[b], sizes, b)
+                    pairs = None
+                    again = changed = True
+                    break
     return [b for b in bins if b]
 
 
-def _pair(bins, sizes, fill, others, donor, x, capacity, looked: int = 24) -> tuple[int, list[int]]:
-    """Two items of one of the roomiest other bins that are together smaller than ``x`` by at most the room there."""
-    roomy = others[np.argsort(fill[others], kind="stable")[:looked]]
-    for to in roomy:
-        room = int(capacity - fill[to])
-        held = bins[to]
-        if len(held) < 2 or fill[to] <= fill[donor]:
-            continue
-        s = sizes[held].astype(np.int64)
-        both = s[:, None] + s[None, :]
-        good = np.triu((both < x) & (x - both <= room), 1)
-        if good.any():
-            a, b = np.unravel_index(int(np.argmin(np.where(good, both, np.iinfo(np.int64).max))), both.shape)
-            return int(to), [held[a], held[b]]
-    return -1, []
+def _largest_gain(gain, home, fill, donor, capacity) -> int:
+    """Place of the largest ``gain`` that its bin has room for and that increases the sum of squared fills; -1 for none."""
+    at = fill[home]
+    good = (gain > 0) & (gain <= capacity - at) & (at > fill[donor] - gain) & (home != donor)
+    if not good.any():
+        return -1
+    return int(np.argmax(np.where(good, gain, -1)))
+
+
+def _pair_sums(held: list[int], sizes: np.ndarray, home: int) -> np.ndarray:
+    """Columns (sum, home, item, item) of the pairs of items of a bin; of a size, two items stand for all."""
+    order = np.array(held, dtype=np.int64)[np.argsort(sizes[held], kind="stable")] if held else np.empty(0, dtype=np.int64)
+    s = sizes[order].astype(np.int64)
+    kept = np.ones(len(s), dtype=bool)
+    kept[2:] = s[2:] != s[:-2]
+    order, s = order[kept], s[kept]
+    a, b = np.triu_indices(len(s), 1)
+    return np.stack([s[a] + s[b], np.full(len(a), home), order[a], order[b]])
 
 
 def pack(documents: DataFrame, capacities: DataFrame, path: str = TOKENIZER) -> DataFrame:

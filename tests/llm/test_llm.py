@@ -224,6 +224,30 @@ def test_local_search_empties_bins():
     assert all(sizes[b].sum() <= 10 for b in better)
 
 
+@pytest.mark.parametrize("capacity", [60, 2000])
+def test_local_search_ends_where_no_exchange_helps(capacity):
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(0, capacity // 3, 240)
+    bins, at = [], 0
+    while at < len(sizes):  # many bins with room, in which few exchanges fit
+        bins.append([at])
+        at += 1
+        while at < len(sizes) and sizes[[*bins[-1], at]].sum() <= capacity:
+            bins[-1].append(at)
+            at += 1
+    packed = packing.local_search([list(b) for b in bins], sizes, capacity)
+    assert sorted(i for b in packed for i in b) == list(range(240)) and len(packed) <= len(bins)
+    fill = [int(sizes[b].sum()) for b in packed]
+    assert max(fill) <= capacity
+    for d, donor in enumerate(packed):
+        for b, other in enumerate(packed):
+            if b == d:
+                continue
+            backs = [0, *(sizes[j] for j in other), *(sizes[j] + sizes[k] for n, j in enumerate(other) for k in other[:n])]
+            for gain in {int(sizes[i] - back) for i in donor for back in backs}:
+                assert gain <= 0 or fill[b] + gain > capacity or (fill[b] + gain) ** 2 + (fill[d] - gain) ** 2 <= fill[b] ** 2 + fill[d] ** 2
+
+
 # p8
 
 
