@@ -202,13 +202,13 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             rest = prefix_length(int(total), threshold) - (int(total) - (e - s))
             if rest > 0:
                 counts = np.bincount((mine >> 7) & (GROUPS - 1), minlength=GROUPS)
-                rows.append((int(keys[s]), int(total), int(total) - (e - s), np.unique((mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32)), mine[:rest], counts.astype(np.int16)))
+                rows.append((int(keys[s]), int(total), int(total) - (e - s), np.unique((mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32)), mine[:rest], counts.astype(np.int32)))
         for at in range(0, len(rows), 5_000):
             yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "alone", "shared", "prefix", "counts"])
 
     posted = texts.mapInPandas(post, "bucket int, items array<bigint>, keys array<bigint>, n array<int>").repartitionById(buckets, F.col("bucket"))
     common = posted.mapInPandas(shared, "bucket int, items array<int>, keys array<bigint>, n array<int>, df array<int>, source int").repartitionById(buckets, F.col("bucket"))
-    alive = cut(common.mapInPandas(survivors, "key long, n int, alone int, shared array<int>, prefix array<bigint>, counts array<smallint>"))
+    alive = cut(common.mapInPandas(survivors, "key long, n int, alone int, shared array<int>, prefix array<bigint>, counts array<int>"))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -225,7 +225,7 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
                 mine = order[ends[b] : ends[b + 1]]
                 if len(mine):
                     docs, place = np.unique(row[mine], return_inverse=True)  # a text goes to a bucket once
-                    out.append((b, tokens[mine], rank[mine].astype(np.int32), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), np.concatenate([counts[d] for d in docs]).astype(np.int16)))
+                    out.append((b, tokens[mine], rank[mine].astype(np.int32), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), np.concatenate([counts[d] for d in docs]).astype(np.int32)))
             yield pd.DataFrame(out, columns=["bucket", "tokens", "ranks", "place", "keys", "n", "counts"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,7 +257,7 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             whole = np.unique(np.concatenate(found), axis=0)
             yield pd.DataFrame({"a": whole[:, 0], "b": whole[:, 1]})
 
-    schema = "bucket int, tokens array<bigint>, ranks array<int>, place array<int>, keys array<bigint>, n array<int>, counts array<smallint>"
+    schema = "bucket int, tokens array<bigint>, ranks array<int>, place array<int>, keys array<bigint>, n array<int>, counts array<int>"
     sharded = alive.select("key", "n", "alone", "prefix", "counts").mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
     pairs = cut(sharded.mapInPandas(search, "a long, b long").distinct())
     return alive.select("key", "n", "shared"), pairs

@@ -175,6 +175,14 @@ def test_rtree_bound_loses_nothing():
         assert sorted(tree.query(points[q], int(sizes[q]), 0.6).tolist()) == want
 
 
+def test_texts_with_full_hash_groups(spark):
+    rng = random.Random(13)
+    words = [f"{rng.randrange(1 << 40):x}" for _ in range(38_000 * reprints.GROUPS)]  # what is shared fills each group beyond 16 bits
+    data = [("long", "T", " ".join(words)), ("cut", "T", " ".join(words[: len(words) * 9 // 10])), ("other", "T", " ".join(words[: len(words) // 3]))]
+    df = spark.createDataFrame(data, "id string, title string, body string")
+    assert rows(reprints.reprint_pairs(df), "article_a", "article_b") == [("cut", "long")]
+
+
 # p6
 
 
