@@ -1,12 +1,14 @@
 """p5: near-duplicate texts in a collection too large for pairwise comparison.
 
-Texts become sets of hashed word shingles. Shingles that no other text has can't link anything; a text with too few
-shared ones has no partner and drops out. Of the others the rarest shared shingles (a prefix that every partner must
-meet) direct them to shards of a count-vector R-tree: a shingle's texts are one subtree, whose points are counts of
-the text's shingles in GROUPS hash groups. Summed coordinate minima bound the overlap from above, for a box (its
-maxima) as for a point, and prune; surviving pairs are verified on the exact sets.
-
-Postings travel as arrays, one row a batch and bucket, so the shuffles hold little but hashes.
+Texts become sets of hashed word shingles. Shingles that no other text has can't link anything: they are counted with
+sums on the map side, and a text with too few shared ones has no partner and drops out. The texts left are points of
+count-vector R-trees, one packed tree a shard: a point is a shingle of the text's prefix (its rarest shared shingles, one of
+which every partner must meet), the text's size and the counts of its shared shingles in GROUPS hash groups. Summed
+coordinate minima bound the overlap from above, for a box (its maxima) as for a point, and prune. Every candidate pair
+is an answer of a tree; the pairs are verified on the whole sets of 64-bit hashes.
+
+A shingle that very many texts share is cut into blocks of texts, and each pair of blocks is a subtree of its own, so
+no list is gathered in one task and no pair is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ THRESHOLD = 0.6
 LEAST_WORDS = 20  # of the body
 GROUPS = 32  # coordinates of a count vector
 LEAF = 16  # points in a leaf
-PAIRWISE = 24  # texts of one shingle that fit a single leaf's comparison
+BLOCK = 20_000  # texts of one shingle in a subtree; beyond, each pair of blocks is a subtree
+QUERIES = 4_096  # points that go down a tree together
+BROADCAST_ROWS = 1_000_000  # keys of 12 bytes that may be sent to every executor
 _BLANK = r"[ \t\n\r]"
 _WORD = re.compile(r"[^ \t\n\r]+")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))  # odd constants
@@ -67,62 +71,77 @@ def prefix_length(n: int, threshold: float = THRESHOLD) -> int:
 
 
 class RTree:
-    """Packed R-tree over count vectors; a box keeps its maxima and least size, all that an upper bound needs."""
-
-    def __init__(self, vectors: np.ndarray, sizes: np.ndarray) -> None:
-        order = np.lexsort((*vectors.T[:4], sizes))
-        self.points, self.sizes, self.order = vectors[order], sizes[order], order
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        high, least = self.points, self.sizes
-        while len(high) > LEAF:
-            starts = np.arange(0, len(high), LEAF)
-            high, least = np.maximum.reduceat(high, starts, axis=0), np.minimum.reduceat(least, starts)
-            self.levels.append((high, least))
-
-    def query(self, vector: np.ndarray, size: int, threshold: float) -> np.ndarray:
-        """Positions of the points whose bound with ``vector`` allows the similarity."""
-        nodes = np.arange(len(self.levels[-1][0]) if self.levels else len(self.points))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            high, least = self.levels[depth]
-            bound = np.minimum(high[nodes], vector).sum(axis=1)
-            nodes = nodes[bound >= needed(least[nodes], size, threshold)]
-            below = len(self.levels[depth - 1][0]) if depth else len(self.points)
-            nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-            nodes = nodes[nodes < below]
-        bound = np.minimum(self.points[nodes], vector).sum(axis=1)
-        return self.order[nodes[bound >= needed(self.sizes[nodes], size, threshold)]]
-
+    """Packed R-tree over points (token, size, count vector); ``query`` finds partners for many points at a time.
 
-def _bound_pairs(tokens: np.ndarray, ranks: np.ndarray, keys: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
-    """Pairs of keys within each token's texts whose summed coordinate minima allow the similarity.
-
-    ``ranks``: the token's place in its text's order by rarity. The first token that two texts have in common leaves
-    enough of both behind it, so a pair is only taken at a token where that holds.
+    A box keeps the range of its tokens, its least size and the maxima of the counts, all that an upper bound needs.
+    ``owner`` gives each point's row of ``vectors`` and ``sizes``, as a text is a point for each of its tokens.
+    ``visited`` counts boxes and points looked at under the right token, ``pruned`` those that the bound sent away.
     """
-    order = np.argsort(tokens, kind="stable")
-    tokens, ranks, keys, sizes, vectors = tokens[order], ranks[order], keys[order], sizes[order], vectors[order]
-    starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-    lengths = np.diff(np.r_[starts, len(tokens)])
-    for g in np.unique(lengths):
-        at = starts[lengths == g]
-        if g < 2:
-            continue
-        if g <= PAIRWISE:
-            for i in range(1, g):
-                a, b = (at[:, None] + np.arange(g - i)).ravel(), (at[:, None] + np.arange(i, g)).ravel()
-                fit = needed(sizes[a], sizes[b], threshold) <= np.minimum(sizes[a] - ranks[a], sizes[b] - ranks[b])
-                a, b = a[fit], b[fit]
-                good = np.minimum(vectors[a], vectors[b]).sum(axis=1) >= needed(sizes[a], sizes[b], threshold)
-                yield np.stack([keys[a[good]], keys[b[good]]], axis=1)
-            continue
-        for s in at:
-            tree = RTree(vectors[s : s + g], sizes[s : s + g])
-            for q in range(g):
-                hits = tree.query(vectors[s + q], int(sizes[s + q]), threshold)
-                hits = hits[hits > q]
-                left = np.minimum(sizes[s + hits] - ranks[s + hits], sizes[s + q] - ranks[s + q])
-                hits = hits[needed(sizes[s + hits], sizes[s + q], threshold) <= left]
-                yield np.stack([np.full(len(hits), keys[s + q]), keys[s + hits]], axis=1)
+
+    def __init__(self, tokens: np.ndarray, owner: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> None:
+        self.order = np.lexsort((*vectors[owner, :4].T, sizes[owner], tokens))
+        self.tokens, self.owner = tokens[self.order], owner[self.order]
+        self.sizes, self.vectors = sizes, vectors
+        self.visited = self.pruned = 0
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        first = last = self.tokens
+        least, high = sizes[self.owner], None
+        while len(first) > LEAF:
+            starts = np.arange(0, len(first), LEAF)
+            high = self._leaf_maxima(starts) if high is None else np.maximum.reduceat(high, starts, axis=0)
+            first, last, least = first[starts], last[np.minimum(starts + LEAF, len(last)) - 1], np.minimum.reduceat(least, starts)
+            self.levels.append((first, last, least, high))
+
+    def _leaf_maxima(self, starts: np.ndarray) -> np.ndarray:
+        out = np.empty((len(starts), self.vectors.shape[1]), dtype=self.vectors.dtype)
+        for s in range(0, len(starts), QUERIES):
+            part = starts[s : s + QUERIES]
+            held = self.vectors[self.owner[part[0] : part[-1] + LEAF]]
+            out[s : s + QUERIES] = np.maximum.reduceat(held, part - part[0], axis=0)
+        return out
+
+    def _bounded(self, high, least, vector, size, threshold: float) -> np.ndarray:
+        return np.minimum(high, vector).sum(axis=1) >= needed(least, size, threshold)
+
+    def query(self, tokens: np.ndarray, sizes: np.ndarray, vectors: np.ndarray, after: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, place): the points at places beyond ``after`` that have the query's token and whose bound allows the similarity."""
+        top = len(self.levels[-1][0]) if self.levels else len(self.tokens)
+        q, node = np.repeat(np.arange(len(tokens)), top), np.tile(np.arange(top), len(tokens))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            first, last, least, high = self.levels[depth]
+            fit = (first[node] <= tokens[q]) & (tokens[q] <= last[node]) & ((node + 1) * LEAF ** (depth + 1) > after[q] + 1)
+            q, node = q[fit], node[fit]
+            good = self._bounded(high[node], least[node], vectors[q], sizes[q], threshold)
+            self.visited += len(q)
+            self.pruned += len(q) - int(good.sum())
+            q, node = q[good], node[good]
+            below = len(self.levels[depth - 1][0]) if depth else len(self.tokens)
+            q, node = np.repeat(q, LEAF), (node[:, None] * LEAF + np.arange(LEAF)).ravel()
+            q, node = q[node < below], node[node < below]
+        fit = (self.tokens[node] == tokens[q]) & (node > after[q])
+        q, node = q[fit], node[fit]
+        own = self.owner[node]
+        good = self._bounded(self.vectors[own], self.sizes[own], vectors[q], sizes[q], threshold)
+        self.visited += len(q)
+        self.pruned += len(q) - int(good.sum())
+        return q[good], node[good]
+
+    def pairs(self, ranks: np.ndarray, sides: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, row) of the owners of every two points of a token that the tree leaves, in parts.
+
+        ``ranks``: a token's place in its text's order by rarity. The first token that two texts have in common leaves
+        enough of both behind it, so a pair is only taken at a token where that holds. ``sides``: 0 and 1 for the two
+        blocks of a subtree, whose points only meet across; -1 for those that meet all.
+        """
+        ranks, sides = ranks[self.order], sides[self.order]
+        for s in range(0, len(self.tokens), QUERIES):
+            at = np.arange(s, min(s + QUERIES, len(self.tokens)))
+            own = self.owner[at]
+            q, place = self.query(self.tokens[at], self.sizes[own], self.vectors[own], at, threshold)
+            q, a, b = q + s, self.owner[q + s], self.owner[place]
+            left = np.minimum(self.sizes[a] - ranks[q], self.sizes[b] - ranks[place])
+            fit = (needed(self.sizes[a], self.sizes[b], threshold) <= left) & ((sides[q] < 0) | (sides[q] != sides[place])) & (a != b)
+            yield a[fit], b[fit]
 
 
 def _flat(column) -> np.ndarray:
@@ -130,22 +149,13 @@ def _flat(column) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
 
 
-def _blocks(bucket: np.ndarray, count: int, **columns: np.ndarray) -> pd.DataFrame:
-    """One row for each bucket, the columns cut into arrays; the order within a bucket is kept."""
-    bucket = bucket.astype(np.int16 if count < 1 << 15 else np.int32)  # sorted by radix where it is short
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(count + 1))
-    rows = [b for b in range(count) if ends[b] < ends[b + 1]]
-    return pd.DataFrame({"bucket": np.array(rows, dtype=np.int32)} | {c: [v[order[ends[b] : ends[b + 1]]] for b in rows] for c, v in columns.items()})
+def _shared_counts(texts: DataFrame, buckets: int) -> DataFrame:
+    """(key, c, n): how many of a text's n shingles other texts have too, in partial sums.
 
-
-def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(key, n, shared array<int>: the 32-bit tails of its shared shingles) of the texts that can have a partner, and the pairs (a, b) the R-tree leaves.
-
-    ``texts``: (key long, text); equal keys stand for equal texts and count once.
+    Each batch sends a shingle once, however many of its texts have it, so a shingle of a third of all texts costs a
+    bucket no more than the number of batches. Half of each hash stands for the shingle beside the bucket; a
+    collision only lets a text through that the later steps hold against the whole hashes.
     """
-    spark = texts.sparkSession
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -153,122 +163,175 @@ def candidates(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
             pdf = pdf.drop_duplicates("key")
             sets = [shingles(t, known) for t in pdf["text"]]
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            items = np.concatenate(sets) if len(sets) else np.empty(0, dtype=np.int64)
-            keys, n = np.repeat(pdf["key"].to_numpy(dtype=np.int64), sizes), np.repeat(sizes, sizes).astype(np.int32)
-            yield _blocks((items & 0x7FFFFFFF) % buckets, buckets, items=items, keys=keys, n=n)
-
-    def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = list(batches)
-        if not held:
-            return
-        items, keys, n = (np.concatenate([_flat(p[c]) for p in held]) for c in ("items", "keys", "n"))
-        held.clear()
-        order = np.lexsort((keys, items))
-        items, keys, n = items[order], keys[order], n[order]
-        fresh = np.r_[True, (items[1:] != items[:-1]) | (keys[1:] != keys[:-1])]
-        items, keys, n = items[fresh], keys[fresh], n[fresh]
-        starts = np.flatnonzero(np.r_[True, items[1:] != items[:-1]])
-        df = np.repeat(np.diff(np.r_[starts, len(items)]), np.diff(np.r_[starts, len(items)]))
-        kept = df > 1
-        items, keys, n, df = items[kept], keys[kept], n[kept], df[kept]
-        order = np.argsort(keys, kind="stable")
-        if not len(items):
-            return
-        # the bucket stands for the lower bits: half of each hash is enough beside it
-        source = int((items[0] & 0x7FFFFFFF) % buckets)
-        if ((items & 0x7FFFFFFF) % buckets != source).any():
-            raise RuntimeError("a partition holds more than one bucket")
-        upper = (items[order] >> 32).astype(np.int32)
-        blocks = _blocks((keys[order] & 0x7FFFFFFF) % buckets, buckets, items=upper, keys=keys[order], n=n[order], df=np.minimum(df[order], 0x7FFFFFFF).astype(np.int32))
-        yield blocks.assign(source=np.int32(source))
-
-    def survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = list(batches)
-        if not held:
+            if not sizes.sum():
+                continue
+            items, row = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+            del sets
+            bucket = ((items & 0x7FFFFFFF) % buckets).astype(np.int16 if buckets < 1 << 15 else np.int32)
+            order = np.argsort(items)
+            order = order[np.argsort(bucket[order], kind="stable")]  # by radix where it is short
+            items, row, bucket = items[order], row[order], bucket[order]
+            keys = pdf["key"].to_numpy(dtype=np.int64)
+            ends = np.searchsorted(bucket, np.arange(buckets + 1))
+            out = []
+            for b in range(buckets):
+                mine, doc = items[ends[b] : ends[b + 1]], row[ends[b] : ends[b + 1]]
+                if not len(mine):
+                    continue
+                starts = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
+                several = np.diff(np.r_[starts, len(mine)]) > 1
+                held, place = np.unique(doc, return_inverse=True)
+                shared = np.bincount(place[np.repeat(several, np.diff(np.r_[starts, len(mine)]))], minlength=len(held))
+                who = np.where(several, -1, place[starts])  # -1: several texts of this batch have it
+                out.append((b, (mine[starts] >> 32).astype(np.int32), who.astype(np.int32), keys[held], shared.astype(np.int32), np.bincount(place).astype(np.int32)))
+            yield pd.DataFrame(out, columns=["bucket", "tails", "who", "keys", "c", "n"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tails, who, keys, c, n, base = [], [], [], [], [], 0
+        for pdf in batches:
+            for t, w, k, s, m in zip(pdf["tails"], pdf["who"], pdf["keys"], pdf["c"], pdf["n"], strict=True):
+                tails.append(t)
+                who.append(np.where(np.asarray(w) < 0, -1, np.asarray(w, dtype=np.int64) + base))
+                keys.append(k)
+                c.append(s)
+                n.append(m)
+                base += len(k)
+        if not tails:
             return
-        items = np.concatenate([_flat([(np.int64(b) << 32) | (np.asarray(x).astype(np.int64) & 0xFFFFFFFF) for b, x in zip(p["source"], p["items"], strict=True)]) for p in held])
-        keys, n, df = (np.concatenate([_flat(p[c]) for p in held]) for c in ("keys", "n", "df"))
-        held.clear()
-        order = np.lexsort((items, df, keys))
-        items, keys, n = items[order], keys[order], n[order]
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        ends = np.r_[starts[1:], len(keys)]
-        size = n[starts]
-        able = (ends - starts) >= np.ceil(threshold * size - 1e-9)
-        rows = []
-        for s, e, total in zip(starts[able], ends[able], size[able], strict=True):
-            mine = items[s:e]
-            # the shingles nobody shares come first in the order by rarity, and need no posting
-            rest = prefix_length(int(total), threshold) - (int(total) - (e - s))
-            if rest > 0:
-                counts = np.bincount((mine >> 7) & (GROUPS - 1), minlength=GROUPS)
-                rows.append((int(keys[s]), int(total), int(total) - (e - s), np.unique((mine & 0xFFFFFFFF).astype(np.uint32).view(np.int32)), mine[:rest], counts.astype(np.int32)))
-        for at in range(0, len(rows), 5_000):
-            yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "alone", "shared", "prefix", "counts"])
-
-    posted = texts.mapInPandas(post, "bucket int, items array<bigint>, keys array<bigint>, n array<int>").repartitionById(buckets, F.col("bucket"))
-    common = posted.mapInPandas(shared, "bucket int, items array<int>, keys array<bigint>, n array<int>, df array<int>, source int").repartitionById(buckets, F.col("bucket"))
-    alive = cut(common.mapInPandas(survivors, "key long, n int, alone int, shared array<int>, prefix array<bigint>, counts array<int>"))
+        tail, slot, key = np.concatenate(tails), np.concatenate(who), np.concatenate(keys)
+        order = np.argsort(tail, kind="stable")
+        slot = slot[order]
+        starts = np.flatnonzero(np.r_[True, np.diff(tail[order]) != 0])
+        holder = np.where(slot < 0, 0, key[slot])
+        shared = (np.minimum.reduceat(holder, starts) != np.maximum.reduceat(holder, starts)) | (np.minimum.reduceat(slot, starts) < 0)
+        slot = slot[np.repeat(shared, np.diff(np.r_[starts, len(slot)]))]
+        total = np.concatenate(c) + np.bincount(slot[slot >= 0], minlength=len(key))
+        yield pd.DataFrame({"key": key, "c": total.astype(np.int32), "n": np.concatenate(n)})
+
+    posted = texts.mapInPandas(post, "bucket int, tails array<int>, who array<int>, keys array<bigint>, c array<int>, n array<int>")
+    return posted.repartitionById(buckets, F.col("bucket")).mapInPandas(count, "key long, c int, n int")
+
+
+def shingle_sets(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, n, items array<bigint>): the whole shingle set of each distinct text that can have a partner."""
+    spark = texts.sparkSession
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a text delivered more than once counts its shingles each time, so the share is what matters
+    alive = _shared_counts(texts, buckets).groupBy("key").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).where(F.col("c") >= threshold * F.col("n") - 1e-9).select("key")
+    alive = cut(alive)
+    kept = texts.join(F.broadcast(alive) if alive.count() <= BROADCAST_ROWS else alive, "key", "left_semi").dropDuplicates(["key"])
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
+        for pdf in batches:
+            sets = [shingles(t, known) for t in pdf["text"]]
+            yield pd.DataFrame({"key": pdf["key"], "n": [len(s) for s in sets], "items": sets})
+
+    return cut(kept.mapInPandas(whole, "key long, n int, items array<bigint>"))
+
+
+def candidates(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(a, b, visited, pruned): the pairs that the R-trees over ``sets`` leave, each once.
+
+    One row with null keys a shard tells how many boxes and points its tree looked at and how many the bound sent away.
+    """
+    spark = sets.sparkSession
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    posted = sets.select("key", "n", F.explode("items").alias("item"))
+    df = posted.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    shared = posted.join(df, "item").groupBy("key").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "item"))).alias("shared"))
+    able = shared.where(F.size("shared") >= threshold * F.col("n") - 1e-9).select("key", "n", F.col("shared.df").alias("df"), F.col("shared.item").alias("items"))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            size = np.array([len(p) for p in pdf["prefix"]], dtype=np.int64)
-            tokens = _flat(pdf["prefix"])
-            row = np.repeat(np.arange(len(pdf)), size)
-            rank = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(pdf["alone"].to_numpy(dtype=np.int64), size)
-            bucket = (tokens & 0x7FFFFFFF) % buckets
+            parts: dict[str, list[np.ndarray]] = {c: [] for c in ("token", "rank", "side", "row")}
+            counts = np.zeros((len(pdf), GROUPS), dtype=np.int32)
+            keys, n = pdf["key"].to_numpy(dtype=np.int64), pdf["n"].to_numpy(dtype=np.int64)
+            for i, (df, items) in enumerate(zip(pdf["df"], pdf["items"], strict=True)):
+                items, df = np.asarray(items, dtype=np.int64), np.asarray(df, dtype=np.int64)
+                counts[i] = np.bincount((items >> 7) & (GROUPS - 1), minlength=GROUPS)
+                alone = int(n[i]) - len(items)  # come first in the order by rarity, and need no point
+                rest = max(0, prefix_length(int(n[i]), threshold) - alone)
+                token, rank = items[:rest], alone + np.arange(len(items[:rest]))
+                side = np.full(len(token), -1)
+                hot = df[:rest] > block
+                if hot.any():
+                    token, rank, side = _pair_blocks(token, rank, df[:rest], hot, int(keys[i]), block)
+                for c, v in (("token", token), ("rank", rank), ("side", side), ("row", np.full(len(token), i))):
+                    parts[c].append(v)
+            token, rank, side, row = (_flat(parts[c]) for c in ("token", "rank", "side", "row"))
+            bucket = (token & 0x7FFFFFFF) % buckets
             order = np.lexsort((row, bucket))
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            keys, n, counts = pdf["key"].to_numpy(dtype=np.int64), pdf["n"].to_numpy(), list(pdf["counts"])
             out = []
             for b in range(buckets):
                 mine = order[ends[b] : ends[b + 1]]
                 if len(mine):
                     docs, place = np.unique(row[mine], return_inverse=True)  # a text goes to a bucket once
-                    out.append((b, tokens[mine], rank[mine].astype(np.int32), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), np.concatenate([counts[d] for d in docs]).astype(np.int32)))
-            yield pd.DataFrame(out, columns=["bucket", "tokens", "ranks", "place", "keys", "n", "counts"])
+                    out.append((b, token[mine], rank[mine].astype(np.int32), side[mine].astype(np.int8), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), counts[docs].ravel()))
+            yield pd.DataFrame(out, columns=["bucket", "tokens", "ranks", "sides", "place", "keys", "n", "counts"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, ranks, place, keys, n, counts, base = [], [], [], [], [], [], 0
+        held: dict[str, list[np.ndarray]] = {c: [] for c in ("tokens", "ranks", "sides", "place", "keys", "n", "counts")}
+        base = 0
         for pdf in batches:
-            for t, r, p, k, m, c in zip(pdf["tokens"], pdf["ranks"], pdf["place"], pdf["keys"], pdf["n"], pdf["counts"], strict=True):
-                tokens.append(t)
-                ranks.append(r)
-                place.append(np.asarray(p, dtype=np.int64) + base)
-                keys.append(k)
-                n.append(m)
-                counts.append(np.asarray(c, dtype=np.int32).reshape(-1, GROUPS))
-                base += len(k)
-        if not tokens:
+            for place, keys in zip(pdf["place"], pdf["keys"], strict=True):
+                held["place"].append(np.asarray(place, dtype=np.int64) + base)
+                base += len(keys)
+            for c in ("tokens", "ranks", "sides", "keys", "n", "counts"):
+                held[c] += list(pdf[c])
+        if not base:
             return
-        token, rank, at = np.concatenate(tokens), np.concatenate(ranks).astype(np.int64), np.concatenate(place)
-        key, size, vector = np.concatenate(keys), np.concatenate(n).astype(np.int64), np.concatenate(counts)
+        token, rank, side, at, key, size, counts = (np.concatenate(held[c]) for c in ("tokens", "ranks", "sides", "place", "keys", "n", "counts"))
+        held.clear()
         # counts are of shared shingles only, which is all that two texts can have in common
-        found, held = [], 0
-        for pairs in _bound_pairs(token, rank, key[at], size[at], vector[at], threshold):
-            pairs = np.sort(pairs, axis=1)
-            found.append(pairs[pairs[:, 0] != pairs[:, 1]])
-            held += len(found[-1])
-            if held > 500_000:
-                whole = np.unique(np.concatenate(found), axis=0)
-                yield pd.DataFrame({"a": whole[:, 0], "b": whole[:, 1]})
-                found, held = [], 0
-        if held:
-            whole = np.unique(np.concatenate(found), axis=0)
-            yield pd.DataFrame({"a": whole[:, 0], "b": whole[:, 1]})
-
-    schema = "bucket int, tokens array<bigint>, ranks array<int>, place array<int>, keys array<bigint>, n array<int>, counts array<int>"
-    sharded = alive.select("key", "n", "alone", "prefix", "counts").mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
-    pairs = cut(sharded.mapInPandas(search, "a long, b long").distinct())
-    return alive.select("key", "n", "shared"), pairs
-
-
-def similar_keys(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity): every pair of different keys whose shingle sets reach ``threshold``, verified exactly."""
-    alive, pairs = candidates(texts, threshold)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = alive.join(wanted, "key", "left_semi")
-    a, b = (sets.select(F.col("key").alias(s), F.col("n").alias(f"n{s}"), F.col("shared").alias(f"s{s}")) for s in "ab")
+        tree = RTree(token, at, size.astype(np.int64), counts.reshape(-1, GROUPS))
+        found, waiting = [], 0
+        for a, b in tree.pairs(rank.astype(np.int64), side, threshold):
+            found.append(np.sort(np.stack([key[a], key[b]], axis=1), axis=1))
+            waiting += len(a)
+            if waiting > 500_000:
+                yield _pair_rows(found)
+                found, waiting = [], 0
+        yield _pair_rows(found, tree)
+
+    schema = "bucket int, tokens array<bigint>, ranks array<int>, sides array<tinyint>, place array<int>, keys array<bigint>, n array<int>, counts array<int>"
+    sharded = able.mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
+    return sharded.mapInPandas(search, "a long, b long, visited long, pruned long")
+
+
+def _pair_blocks(token: np.ndarray, rank: np.ndarray, df: np.ndarray, hot: np.ndarray, key: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The points of a text whose ``hot`` tokens are cut into blocks: one for each pair of blocks that holds its own."""
+    tokens, ranks, sides = [token[~hot]], [rank[~hot]], [np.full(int((~hot).sum()), -1)]
+    for t, r, n in zip(token[hot], rank[hot], df[hot], strict=True):
+        blocks = int(-(-n // block))
+        own = (key ^ (key >> 29)) % blocks
+        other = np.arange(blocks)
+        cell = np.minimum(own, other) * blocks + np.maximum(own, other)
+        with np.errstate(over="ignore"):
+            mixed = (np.full(blocks, t, dtype=np.int64).view(np.uint64) ^ (cell.astype(np.uint64) + np.uint64(1)) * _MIX[0]) * _MIX[1]
+        tokens.append((mixed ^ (mixed >> np.uint64(31))).view(np.int64))
+        ranks.append(np.full(blocks, r))
+        sides.append(np.where(other == own, -1, (own > other).astype(int)))
+    return np.concatenate(tokens), np.concatenate(ranks), np.concatenate(sides)
+
+
+def _pair_rows(found: list[np.ndarray], tree: RTree | None = None) -> pd.DataFrame:
+    pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
+    rows = pd.DataFrame({"a": pd.array(pairs[:, 0], dtype="Int64"), "b": pd.array(pairs[:, 1], dtype="Int64"), "visited": 0, "pruned": 0})
+    if tree is not None:
+        rows = pd.concat([rows, pd.DataFrame({"a": pd.array([None], dtype="Int64"), "b": pd.array([None], dtype="Int64"), "visited": [tree.visited], "pruned": [tree.pruned]})])
+    return rows
+
+
+def similar_keys(texts: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(a, b, similarity): every pair of different keys whose shingle sets reach ``threshold``, verified on the whole sets.
+
+    ``texts``: (key long, text); equal keys stand for equal texts and count once.
+    """
+    sets = shingle_sets(texts, threshold)
+    pairs = cut(candidates(sets, threshold, block).where("a is not null").select("a", "b").distinct())
+    a, b = (sets.select(F.col("key").alias(s), F.col("n").alias(f"n{s}"), F.col("items").alias(f"s{s}")) for s in "ab")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -281,7 +344,10 @@ def similar_keys(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _texts(articles: DataFrame) -> DataFrame:
-    """(id, key, text) of the articles whose body has LEAST_WORDS words; the key is the text's hash."""
+    """(id, key, text) of the articles whose body has LEAST_WORDS words; the key is the text's 64-bit hash.
+
+    Two of n different texts get one key with a chance of n^2 / 2^65.
+    """
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.col("body"))
     long = F.col("body").rlike(f"^{_BLANK}*(?:[^ \\t\\n\\r]+{_BLANK}+){{{LEAST_WORDS - 1}}}[^ \\t\\n\\r]")
     return articles.where(long).select("id", F.xxhash64(F.lower(text)).alias("key"), text.alias("text"))

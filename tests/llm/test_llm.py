@@ -167,12 +167,40 @@ def test_hot_copies_and_large_leaves(spark):
 
 def test_rtree_bound_loses_nothing():
     rng = np.random.default_rng(0)
-    points = rng.integers(0, 6, (300, reprints.GROUPS)).astype(np.int32)
-    sizes = points.sum(axis=1).astype(np.int64)
-    tree = reprints.RTree(points, sizes)
-    for q in range(0, 300, 17):
-        want = [i for i in range(300) if np.minimum(points[i], points[q]).sum() >= reprints.needed(sizes[i], sizes[q], 0.6)]
-        assert sorted(tree.query(points[q], int(sizes[q]), 0.6).tolist()) == want
+    vectors = rng.integers(0, 6, (300, reprints.GROUPS)).astype(np.int32)
+    sizes = vectors.sum(axis=1).astype(np.int64)
+    owner, tokens = np.repeat(np.arange(300), 3), rng.integers(0, 4, 900)
+    tokens[::3] = 7  # a token that all have
+    tree = reprints.RTree(tokens, owner, sizes, vectors)
+    token_of, own = tokens[tree.order], owner[tree.order]
+    at = np.arange(900)
+    q, place = tree.query(token_of, sizes[own], vectors[own], at, 0.6)
+    bound = np.minimum(vectors[own][:, None], vectors[own][None]).sum(axis=2)
+    want = (token_of[:, None] == token_of[None]) & (at[:, None] < at[None]) & (bound >= reprints.needed(sizes[own][:, None], sizes[own][None], 0.6))
+    assert set(zip(q.tolist(), place.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(want))))
+    assert tree.visited > tree.pruned > 0
+
+
+def test_all_candidates_come_from_trees_and_blocks_lose_nothing(spark):
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(30)]
+    data = []
+    for i in range(90):  # all texts share a phrase; blocks of seven texts, all pairs of blocks
+        body = list(base)
+        for _ in range(rng.randint(1, 6)):
+            body[rng.randrange(30)] = f"x{rng.randrange(40)}"
+        data.append((f"v{i:03}", "T", " ".join(body)))
+    df = spark.createDataFrame(data, "id string, title string, body string")
+    texts = reprints._texts(df).select("key", "text")
+    sets = reprints.shingle_sets(texts)
+    whole = reprints.candidates(sets).collect()
+    pairs = {(r["a"], r["b"]) for r in whole if r["a"] is not None}
+    assert sum(r["visited"] - r["pruned"] for r in whole) >= len(pairs) > 0
+    parts = {(r["a"], r["b"]) for r in reprints.candidates(sets, block=7).collect() if r["a"] is not None}
+    key = {r["id"]: r["key"] for r in reprints._texts(df).collect()}
+    want = {tuple(sorted((key[a], key[b]))) for a, b in brute_reprints(data)} - {(k, k) for k in key.values()}
+    assert want <= pairs and want <= parts
+    assert {(r["a"], r["b"]) for r in reprints.similar_keys(texts, block=7).collect()} == want
 
 
 def test_texts_with_full_hash_groups(spark):
