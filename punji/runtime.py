@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Only where the setting is absent (local tests) a folder of this machine is set.
+    Only a local session (tests, bench) may leave it unset; it gets a folder of this machine. A cluster must name one.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="punji-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -31,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a compressed table to the shared checkpoint folder, for many reads of some columns each.
+
+    Row groups are small, as a row may hold a whole shard of something.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def once(df: DataFrame, *keys: str) -> DataFrame:
     """One row per key; rows delivered twice are alike, so which one stays doesn't matter."""
     return df.dropDuplicates(list(keys))
