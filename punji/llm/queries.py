@@ -145,6 +145,18 @@ _P8 = """with d as (select distinct doc_id, regexp_extract_all(lower(text), '[\\
     iw as (select item_id, unnest(list_transform(range(1, len(ws) - 8), lambda k: array_to_string(ws[k:k + 9], ' '))) as g from i where len(ws) >= 10)
     select distinct doc_id, item_id from dw join iw using (g)"""
 
+_P8_NEAR = f"""with exact as ({_P8}),
+    dw as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as p from (select distinct doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') as ws from documents where text is not null)),
+    iw as (select item_id, w, min(p) as p from (select item_id, unnest(ws) as w, generate_subscripts(ws, 1) as p from
+      (select item_id, regexp_extract_all(lower(passage), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') as ws from eval_items where passage is not null)) group by item_id, w),
+    f as (select w, count(distinct doc_id) as df from dw where w in (select w from iw) group by w),
+    r as (select item_id, w from (select item_id, w, row_number() over (partition by item_id order by df, p) as k, count(*) over (partition by item_id) as c from iw join f using (w)) where k <= 12 and c >= 12),
+    h as (select doc_id, item_id, p, w from dw join r using (w)),
+    whole as (select doc_id, item_id from h group by doc_id, item_id having count(distinct w) = 12),
+    k as (select h.* from h join whole using (doc_id, item_id)),
+    near as (select x.doc_id, x.item_id from k x join k y on x.doc_id = y.doc_id and x.item_id = y.item_id and y.p between x.p and x.p + 29 group by x.doc_id, x.item_id, x.p having count(distinct y.w) = 12)
+    select doc_id, item_id, 'exact' as kind from exact union all select doc_id, item_id, 'near' as kind from (select distinct doc_id, item_id from near) where (doc_id, item_id) not in (select (doc_id, item_id) from exact)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": _P5, "p6_found": _P6, "p8_found": _P8}
+    return {"p8_near": _P8_NEAR, "p5_found": _P5, "p6_found": _P6, "p8_found": _P8}

@@ -309,9 +309,27 @@ def test_leaks_against_brute_force(spark):
     e = spark.createDataFrame(items + items[:3], "item_id long, passage string")
     assert rows(leakage.leaks(d, e), "doc_id", "item_id") == want and want
     assert set(want) <= set(rows(leakage.leaks(d, e, near=4), "doc_id", "item_id"))
+    index = leakage.positional_index(d)
+    assert rows(leakage.leaks(d.limit(0), e, index=index), "doc_id", "item_id") == want  # no text is read beside the index
     assert leakage.leaks(d.limit(0), e).count() == 0 and leakage.leaks(d, e.limit(0)).count() == 0
 
 
+def test_index_keeps_every_position(spark):
+    docs = [(i, t) for i, t in enumerate(["b a b", "", "c", "a a A", None, "నీరు b"])] + [(2, "c")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    back, held = {}, {}
+    for r in leakage.positional_index(d).collect():
+        shard = leakage.Shard(r["docs"], r["ends"], r["terms"], r["counts"], bytes(r["positions"]))
+        start = np.concatenate(([0], shard.ends))
+        for number, term in enumerate(r["terms"]):
+            held[term] = held.get(term, 0) + r["held"][number]
+            for position in shard.positions(number):
+                k = int(shard.document(position))
+                back[(int(shard.docs[k]), int(position - start[k]))] = term
+    want = {(i, k): leakage.term_of(w) for i, t in docs if t for k, w in enumerate(leakage.words(t))}
+    assert back == want and held[leakage.term_of("b")] == 2 and held[leakage.term_of("a")] == 2
+
+
 def test_near_leaks_do_not_depend_on_batches(spark):
     rng = random.Random(21)
     vocabulary = [f"w{i}" for i in range(80)]
