@@ -149,12 +149,23 @@ def _flat(column) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
 
 
-def _shared_counts(texts: DataFrame, buckets: int) -> DataFrame:
-    """(key, c, n): how many of a text's n shingles other texts have too, in partial sums.
+def _blocks(bucket: np.ndarray, count: int, **columns: np.ndarray) -> pd.DataFrame:
+    """One row for each bucket, the columns cut into arrays; the order within a bucket is kept."""
+    bucket = bucket.astype(np.int16 if count < 1 << 15 else np.int32)  # sorted by radix where it is short
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(count + 1))
+    rows = [b for b in range(count) if ends[b] < ends[b + 1]]
+    return pd.DataFrame({"bucket": np.array(rows, dtype=np.int32)} | {c: [v[order[ends[b] : ends[b + 1]]] for b in rows] for c, v in columns.items()})
 
-    Each batch sends a shingle once, however many of its texts have it, so a shingle of a third of all texts costs a
-    bucket no more than the number of batches. Half of each hash stands for the shingle beside the bucket; a
-    collision only lets a text through that the later steps hold against the whole hashes.
+
+def _points(texts: DataFrame, threshold: float, buckets: int) -> DataFrame:
+    """(key, n, alone, prefix, df, counts) of the texts that can have a partner.
+
+    ``prefix``: the rarest shared shingles, with the number of texts that have each; ``alone``: how many shingles come
+    before them, as no other text has them; ``counts``: the shared shingles by hash group.
+
+    A batch of texts sends a shingle once, with the texts that have it as short numbers beside it. Half of each hash
+    stands for the shingle beside its bucket here; a collision only lets through what verification turns down.
     """
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,95 +179,92 @@ def _shared_counts(texts: DataFrame, buckets: int) -> DataFrame:
             items, row = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
             del sets
             bucket = ((items & 0x7FFFFFFF) % buckets).astype(np.int16 if buckets < 1 << 15 else np.int32)
-            order = np.argsort(items)
-            order = order[np.argsort(bucket[order], kind="stable")]  # by radix where it is short
+            order = np.argsort(items, kind="stable")
+            order = order[np.argsort(bucket[order], kind="stable")]
             items, row, bucket = items[order], row[order], bucket[order]
             keys = pdf["key"].to_numpy(dtype=np.int64)
             ends = np.searchsorted(bucket, np.arange(buckets + 1))
             out = []
             for b in range(buckets):
                 mine, doc = items[ends[b] : ends[b + 1]], row[ends[b] : ends[b + 1]]
-                if not len(mine):
-                    continue
-                starts = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
-                several = np.diff(np.r_[starts, len(mine)]) > 1
-                held, place = np.unique(doc, return_inverse=True)
-                shared = np.bincount(place[np.repeat(several, np.diff(np.r_[starts, len(mine)]))], minlength=len(held))
-                who = np.where(several, -1, place[starts])  # -1: several texts of this batch have it
-                out.append((b, (mine[starts] >> 32).astype(np.int32), who.astype(np.int32), keys[held], shared.astype(np.int32), np.bincount(place).astype(np.int32)))
-            yield pd.DataFrame(out, columns=["bucket", "tails", "who", "keys", "c", "n"])
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tails, who, keys, c, n, base = [], [], [], [], [], 0
+                if len(mine):
+                    starts = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
+                    held, place = np.unique(doc, return_inverse=True)
+                    times = np.diff(np.r_[starts, len(mine)])
+                    out.append((b, (mine[starts] >> 32).astype(np.int32), times.astype(np.int32), place.astype(np.int32), keys[held], sizes[held].astype(np.int32)))
+            yield pd.DataFrame(out, columns=["bucket", "tails", "times", "who", "keys", "n"])
+
+    def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, list[np.ndarray]] = {c: [] for c in ("tails", "times", "who", "keys", "n")}
+        base, source = 0, 0
         for pdf in batches:
-            for t, w, k, s, m in zip(pdf["tails"], pdf["who"], pdf["keys"], pdf["c"], pdf["n"], strict=True):
-                tails.append(t)
-                who.append(np.where(np.asarray(w) < 0, -1, np.asarray(w, dtype=np.int64) + base))
-                keys.append(k)
-                c.append(s)
-                n.append(m)
-                base += len(k)
-        if not tails:
+            for b, who, keys in zip(pdf["bucket"], pdf["who"], pdf["keys"], strict=True):
+                if base and b != source:
+                    raise RuntimeError("a partition holds more than one bucket")
+                held["who"].append(np.asarray(who) + np.int32(base))
+                base, source = base + len(keys), b
+            for c in ("tails", "times", "keys", "n"):
+                held[c] += list(pdf[c])
+        if not base:
             return
-        tail, slot, key = np.concatenate(tails), np.concatenate(who), np.concatenate(keys)
-        order = np.argsort(tail, kind="stable")
-        slot = slot[order]
-        starts = np.flatnonzero(np.r_[True, np.diff(tail[order]) != 0])
-        holder = np.where(slot < 0, 0, key[slot])
-        shared = (np.minimum.reduceat(holder, starts) != np.maximum.reduceat(holder, starts)) | (np.minimum.reduceat(slot, starts) < 0)
-        slot = slot[np.repeat(shared, np.diff(np.r_[starts, len(slot)]))]
-        total = np.concatenate(c) + np.bincount(slot[slot >= 0], minlength=len(key))
-        yield pd.DataFrame({"key": key, "c": total.astype(np.int32), "n": np.concatenate(n)})
-
-    posted = texts.mapInPandas(post, "bucket int, tails array<int>, who array<int>, keys array<bigint>, c array<int>, n array<int>")
-    return posted.repartitionById(buckets, F.col("bucket")).mapInPandas(count, "key long, c int, n int")
-
-
-def shingle_sets(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, n, items array<bigint>): the whole shingle set of each distinct text that can have a partner."""
-    spark = texts.sparkSession
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # a text delivered more than once counts its shingles each time, so the share is what matters
-    alive = _shared_counts(texts, buckets).groupBy("key").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).where(F.col("c") >= threshold * F.col("n") - 1e-9).select("key")
-    alive = cut(alive)
-    kept = texts.join(F.broadcast(alive) if alive.count() <= BROADCAST_ROWS else alive, "key", "left_semi").dropDuplicates(["key"])
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
-        for pdf in batches:
-            sets = [shingles(t, known) for t in pdf["text"]]
-            yield pd.DataFrame({"key": pdf["key"], "n": [len(s) for s in sets], "items": sets})
-
-    return cut(kept.mapInPandas(whole, "key long, n int, items array<bigint>"))
-
-
-def candidates(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(a, b, visited, pruned): the pairs that the R-trees over ``sets`` leave, each once.
+        tails, times, who, keys, n = (np.concatenate(held[c]) for c in ("tails", "times", "who", "keys", "n"))
+        held.clear()
+        _, token = np.unique(tails, return_inverse=True)
+        df = np.bincount(token, weights=times).astype(np.int64)[token]  # a batch has summed up its own
+        kept = np.repeat(df > 1, times)
+        who, tails, df = who[kept], np.repeat(tails, times)[kept], np.repeat(np.minimum(df, 0x7FFFFFFF).astype(np.int32), times)[kept]
+        order = np.argsort(keys[who], kind="stable")
+        who, tails, df = who[order], tails[order], df[order]
+        if len(who):
+            yield _blocks((keys[who] & 0x7FFFFFFF) % buckets, buckets, items=tails, keys=keys[who], n=n[who], df=df).assign(source=np.int32(source))
+
+    def survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(batches)
+        if not held:
+            return
+        items = np.concatenate([_flat([(np.int64(b) << 32) | (np.asarray(x).astype(np.int64) & 0xFFFFFFFF) for b, x in zip(p["source"], p["items"], strict=True)]) for p in held])
+        keys, n, df = (np.concatenate([_flat(p[c]) for p in held]) for c in ("keys", "n", "df"))
+        held.clear()
+        order = np.lexsort((items, df, keys))
+        items, keys, n, df = items[order], keys[order], n[order], df[order]
+        fresh = np.r_[True, (keys[1:] != keys[:-1]) | (items[1:] != items[:-1])][: len(keys)]  # a text may come twice
+        items, keys, n, df = items[fresh], keys[fresh], n[fresh], df[fresh]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        ends = np.r_[starts[1:], len(keys)]
+        size = n[starts]
+        able = (ends - starts) >= np.ceil(threshold * size - 1e-9)
+        rows = []
+        for s, e, total in zip(starts[able], ends[able], size[able], strict=True):
+            # the shingles nobody shares come first in the order by rarity, and need no point
+            alone = max(0, int(total) - int(e - s))
+            rest = prefix_length(int(total), threshold) - alone
+            if rest > 0:
+                counts = np.bincount((items[s:e] >> 7) & (GROUPS - 1), minlength=GROUPS)
+                rows.append((int(keys[s]), int(total), alone, items[s : s + rest] * np.int64(_MIX[2]), df[s : s + rest], counts.astype(np.int32)))
+        for at in range(0, len(rows), 5_000):
+            yield pd.DataFrame(rows[at : at + 5_000], columns=["key", "n", "alone", "prefix", "df", "counts"])
+
+    posted = texts.mapInPandas(post, "bucket int, tails array<int>, times array<int>, who array<int>, keys array<bigint>, n array<int>").repartitionById(buckets, F.col("bucket"))
+    common = posted.mapInPandas(shared, "bucket int, items array<int>, keys array<bigint>, n array<int>, df array<int>, source int").repartitionById(buckets, F.col("bucket"))
+    return common.mapInPandas(survivors, "key long, n int, alone int, prefix array<bigint>, df array<int>, counts array<int>")
+
+
+def candidates(texts: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(a, b, visited, pruned): the pairs of keys that the R-trees over ``texts`` (key, text) leave.
 
     One row with null keys a shard tells how many boxes and points its tree looked at and how many the bound sent away.
     """
-    spark = sets.sparkSession
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    posted = sets.select("key", "n", F.explode("items").alias("item"))
-    df = posted.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
-    shared = posted.join(df, "item").groupBy("key").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "item"))).alias("shared"))
-    able = shared.where(F.size("shared") >= threshold * F.col("n") - 1e-9).select("key", "n", F.col("shared.df").alias("df"), F.col("shared.item").alias("items"))
+    buckets = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    points = _points(texts, threshold, buckets)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             parts: dict[str, list[np.ndarray]] = {c: [] for c in ("token", "rank", "side", "row")}
-            counts = np.zeros((len(pdf), GROUPS), dtype=np.int32)
-            keys, n = pdf["key"].to_numpy(dtype=np.int64), pdf["n"].to_numpy(dtype=np.int64)
-            for i, (df, items) in enumerate(zip(pdf["df"], pdf["items"], strict=True)):
-                items, df = np.asarray(items, dtype=np.int64), np.asarray(df, dtype=np.int64)
-                counts[i] = np.bincount((items >> 7) & (GROUPS - 1), minlength=GROUPS)
-                alone = int(n[i]) - len(items)  # come first in the order by rarity, and need no point
-                rest = max(0, prefix_length(int(n[i]), threshold) - alone)
-                token, rank = items[:rest], alone + np.arange(len(items[:rest]))
-                side = np.full(len(token), -1)
-                hot = df[:rest] > block
+            keys, n, counts = pdf["key"].to_numpy(dtype=np.int64), pdf["n"].to_numpy(), list(pdf["counts"])
+            for i, (df, token, alone) in enumerate(zip(pdf["df"], pdf["prefix"], pdf["alone"], strict=True)):
+                rank, side, hot = alone + np.arange(len(token)), np.full(len(token), -1), np.asarray(df) > block
                 if hot.any():
-                    token, rank, side = _pair_blocks(token, rank, df[:rest], hot, int(keys[i]), block)
+                    token, rank, side = _pair_blocks(np.asarray(token), rank, np.asarray(df), hot, int(keys[i]), block)
                 for c, v in (("token", token), ("rank", rank), ("side", side), ("row", np.full(len(token), i))):
                     parts[c].append(v)
             token, rank, side, row = (_flat(parts[c]) for c in ("token", "rank", "side", "row"))
@@ -268,7 +276,7 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
                 mine = order[ends[b] : ends[b + 1]]
                 if len(mine):
                     docs, place = np.unique(row[mine], return_inverse=True)  # a text goes to a bucket once
-                    out.append((b, token[mine], rank[mine].astype(np.int32), side[mine].astype(np.int8), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), counts[docs].ravel()))
+                    out.append((b, token[mine], rank[mine].astype(np.int32), side[mine].astype(np.int8), place.astype(np.int32), keys[docs], n[docs].astype(np.int32), np.concatenate([counts[d] for d in docs]).astype(np.int32)))
             yield pd.DataFrame(out, columns=["bucket", "tokens", "ranks", "sides", "place", "keys", "n", "counts"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,7 +304,7 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK
         yield _pair_rows(found, tree)
 
     schema = "bucket int, tokens array<bigint>, ranks array<int>, sides array<tinyint>, place array<int>, keys array<bigint>, n array<int>, counts array<int>"
-    sharded = able.mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
+    sharded = points.mapInPandas(spread, schema).repartitionById(buckets, F.col("bucket"))
     return sharded.mapInPandas(search, "a long, b long, visited long, pruned long")
 
 
@@ -324,13 +332,26 @@ def _pair_rows(found: list[np.ndarray], tree: RTree | None = None) -> pd.DataFra
     return rows
 
 
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(key, n, items array<bigint>): the whole shingle set of each distinct text."""
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
+        for pdf in batches:
+            sets = [shingles(t, known) for t in pdf["text"]]
+            yield pd.DataFrame({"key": pdf["key"], "n": [len(s) for s in sets], "items": sets})
+
+    return texts.dropDuplicates(["key"]).mapInPandas(whole, "key long, n int, items array<bigint>")
+
+
 def similar_keys(texts: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """(a, b, similarity): every pair of different keys whose shingle sets reach ``threshold``, verified on the whole sets.
 
     ``texts``: (key long, text); equal keys stand for equal texts and count once.
     """
-    sets = shingle_sets(texts, threshold)
-    pairs = cut(candidates(sets, threshold, block).where("a is not null").select("a", "b").distinct())
+    pairs = cut(candidates(texts, threshold, block).where("a is not null").select("a", "b").distinct())
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    sets = cut(shingle_sets(texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "key", "left_semi")))
     a, b = (sets.select(F.col("key").alias(s), F.col("n").alias(f"n{s}"), F.col("items").alias(f"s{s}")) for s in "ab")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -192,11 +192,10 @@ def test_all_candidates_come_from_trees_and_blocks_lose_nothing(spark):
         data.append((f"v{i:03}", "T", " ".join(body)))
     df = spark.createDataFrame(data, "id string, title string, body string")
     texts = reprints._texts(df).select("key", "text")
-    sets = reprints.shingle_sets(texts)
-    whole = reprints.candidates(sets).collect()
+    whole = reprints.candidates(texts).collect()
     pairs = {(r["a"], r["b"]) for r in whole if r["a"] is not None}
     assert sum(r["visited"] - r["pruned"] for r in whole) >= len(pairs) > 0
-    parts = {(r["a"], r["b"]) for r in reprints.candidates(sets, block=7).collect() if r["a"] is not None}
+    parts = {(r["a"], r["b"]) for r in reprints.candidates(texts, block=7).collect() if r["a"] is not None}
     key = {r["id"]: r["key"] for r in reprints._texts(df).collect()}
     want = {tuple(sorted((key[a], key[b]))) for a, b in brute_reprints(data)} - {(k, k) for k in key.values()}
     assert want <= pairs and want <= parts
