@@ -1,10 +1,11 @@
 """p2: text that was decoded with the wrong character encoding, found and restored.
 
-Each record has a latent encoding chain: clean, one of the wrong codecs (perhaps applied twice), or lost (letters
-replaced by question marks or replacement characters). The evidence of a record is which chains decode how many of its
-odd sequences, and how many letters look lost. Expectation-maximization per source and field pools the evidence of all
-records of the pool, so that a single odd sequence counts for more where the pool is known to be spoilt. The posterior
-of a record decides, and its most probable chain repairs it.
+Each record has a latent encoding chain: clean, one or several wrong codecs on top of each other, or lost (letters
+replaced by question marks or replacement characters). The evidence of a record is, for every chain that undoes
+anything in it, how many odd sequences the chain decodes, how many it leaves, and how many letters stay lost.
+Expectation-maximization per source and field pools the evidence of all records of the pool, so that a single odd
+sequence counts for more where the pool is known to be spoilt. The rounds are aggregates over the records' signatures,
+so no pool is gathered in a task. The posterior of a record decides, and its most probable chain repairs it.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from punji.runtime import cut
 
 CODECS = ("cp1252", "latin1", "cp1251", "cp437", "mac_roman", "cp850", "cp866", "koi8_r", "cp1250")
-MOST = 8  # units and lost letters are counted up to here; more adds nothing to the evidence
-ROUNDS = 12
-MAX_DEPTH = 3  # wrong decodings on top of each other
+SETTLED = 1e-3  # rounds end where no share or rate of any pool moves by more
+STEP = 3  # rounds between two looks at that
 
 # Lost letters: a question mark that begins a word or stands between letters (emphatic ones follow a word).
 LOST = r"(?:^|(?<=\s))\?|(?<=[A-Za-zఀ-౿])\?(?=[A-Za-zఀ-౿])"
@@ -89,102 +88,157 @@ def codec(name: str) -> Codec:
     return _CODECS[name]
 
 
-def suspect_pattern() -> str:
-    """What a record must hold to have any evidence at all: the JVM's cheap test."""
-    heads = sorted({c for name in CODECS for c, b in _byte_of(name).items() if b in (0xC2, 0xC3, 0xC4, 0xC5, 0xE0, 0xE2, 0xEF)})
-    return "[�" + "".join(f"\\x{{{ord(c):X}}}" for c in heads) + "]|" + LOST
+# What a text holds beside ASCII and Telugu is short mostly; a class of two ranges takes the rest away in one cheap pass.
+PLAIN = r"[\x00-\x7F\x{C00}-\x{C7F}]+"
+# LOST, put so that the JVM looks round question marks only.
+_LOST_JVM = r"\?(?<=^\?|\s\?)|\?(?<=[A-Za-zఀ-౿]\?)(?=[A-Za-zఀ-౿])"
 
 
-# A much cheaper test, implied by it: anything but Telugu, typographic signs and those of Latin-1 that begin no unit,
-# or a lost letter.
-UNUSUAL = "[^\\x00-\u00AB\u00AD-\u00B3\u00B5-\u00C1\u00C6-\u00D2\u00D5-\u00DF\u00E1\u00E3-\u00EE\u00F0-\u00FF\u0C00-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|^\\?|\\s\\?|[A-Za-z\u0C00-\u0C7F]\\?[A-Za-z\u0C00-\u0C7F]"
+def head_pattern() -> str:
+    """The characters with which a sequence of any codec begins, and the replacement character; none is ASCII or Telugu."""
+    heads = sorted({c for name in CODECS for c, b in _byte_of(name).items() if b in (0xC2, 0xC3, 0xC4, 0xC5, 0xE0, 0xE2, 0xEF)})
+    return "[�" + "".join(f"\\x{{{ord(c):X}}}" for c in heads) + "]"
 
 
 def suspicious(column) -> F.Column:
-    """Whether a text can have any evidence."""
-    return column.rlike(UNUSUAL) & column.rlike(suspect_pattern())
+    """Whether a text can have any evidence: the JVM's cheap test."""
+    return F.regexp_replace(column, PLAIN, "").rlike(head_pattern()) | (column.contains("?") & column.rlike(_LOST_JVM))
+
 
+def evidence(text: str) -> list[tuple[str, int, int, int]]:
+    """(chain, hits, left, lost) of the text as it is (an empty chain) and of every chain that undoes anything in it.
 
-def evidence(text: str) -> tuple[str, int, int]:
-    """(chains that decode the most units, how many that is, how many lost letters), both counts up to MOST."""
-    counts = {name: codec(name).count(text) for name in CODECS if codec(name).head.search(text)}
-    units = max(counts.values(), default=0)
-    best = sorted((name for name, n in counts.items() if n == units), key=CODECS.index) if units else []
-    rest = codec(best[0]).undo(text) if best else text
-    lost = rest.count("�") + len(_LOST.findall(text))
-    return "+".join(best), min(units, MOST), min(lost, MOST)
+    ``hits``: sequences that the chain's codecs decode, ``left``: those that each codec leaves which a rival would have
+    decoded in its place, with the most that any could still decode behind the chain, ``lost``: letters lost for good.
+    Every undoing makes the text shorter, so chains end by themselves; of chains that lead to the same text the one
+    that leaves least counts. Nothing is listed for a text without any evidence.
+    """
+    marks = len(_LOST.findall(text))
+    nodes: dict[str, tuple[tuple[str, ...], int, int]] = {text: ((), 0, 0)}
+    counted: dict[str, dict[str, int]] = {}
+    todo = [text]
+    while todo:
+        at = todo.pop(0)
+        chain, hits, left = nodes[at]
+        counted[at] = {name: n for name in CODECS if codec(name).head.search(at) and (n := codec(name).count(at))}
+        most = max(counted[at].values(), default=0)
+        for name, n in sorted(counted[at].items(), key=lambda x: -x[1]):
+            after, missed = codec(name).undo(at), left + most - n
+            if after not in nodes or missed < nodes[after][2]:
+                todo.append(after)
+                nodes[after] = ((*chain, name), hits + n, missed)
+    out = [(">".join(c), hits, left + max(counted[at].values(), default=0), at.count("�") + marks) for at, (c, hits, left) in nodes.items()]
+    return out if out[0][2] or out[0][3] else []
 
 
 def repair(text: str, chain: str) -> str:
-    """``text`` with ``chain``'s wrong decoding undone, and any that lay below it; other text stays as it is."""
-    name = chain
-    for _ in range(MAX_DEPTH):
-        after = codec(name).undo(text)
-        if after == text:
-            break
-        text = after
-        counts = {c: codec(c).count(text) for c in CODECS}
-        name = max(CODECS, key=lambda c: (counts[c], c == chain, -CODECS.index(c)))
-        if not counts[name]:
-            break
+    """``text`` with the wrong decodings of ``chain`` undone, the outermost first; other text stays as it is."""
+    for name in chain.split(">"):
+        text = codec(name).undo(text)
     return text
 
 
-def posteriors(pool: pd.DataFrame) -> pd.DataFrame:
-    """Expectation-maximization over one pool's evidence (chains, units, lost, n); adds chain and p_clean.
-
-    Latent classes: clean, each codec, lost. A clean record shows a unit by chance with probability ``chance`` and a
-    lost letter with ``slip``; a spoilt one leaves a unit undecoded with probability ``miss``. Shares of the classes and
-    the three rates are re-estimated each round, with pseudo-counts, until ROUNDS.
-    """
-    classes = ["clean", *CODECS, "lost"]
-    chains = [set(c.split("+")) - {""} for c in pool["chains"]]
-    units, lost, n = (pool[c].to_numpy(dtype=float) for c in ("units", "lost", "n"))
-    fits = np.array([[c in s for c in CODECS] for s in chains], dtype=bool).reshape(len(pool), len(CODECS))
-    share = np.full(len(classes), 0.02 / (len(classes) - 1))
-    share[0] = 0.98
-    chance, slip, miss = 1e-3, 1e-3, 0.05
-    for _ in range(ROUNDS):
-        like = np.empty((len(pool), len(classes)))
-        like[:, 0] = units * np.log(chance) + lost * np.log(slip)
-        like[:, 1:-1] = np.where(fits, (units * np.log(1 - miss))[:, None], (units * np.log(miss * chance))[:, None]) + (lost * np.log(max(slip, 0.05)))[:, None]
-        like[:, 1:-1] = np.where((units > 0)[:, None], like[:, 1:-1], -1e9)
-        like[:, -1] = np.where(lost > 0, units * np.log(chance) + lost * np.log(0.5), -1e9)
-        joint = like + np.log(share)
-        post = np.exp(joint - joint.max(axis=1, keepdims=True))
-        post /= post.sum(axis=1, keepdims=True)
-        mass = post * n[:, None]
-        share = (mass.sum(axis=0) + 0.01) / (mass.sum() + 0.01 * len(classes))
-        clean = mass[:, 0]
-        chance = min(0.01, ((clean * units).sum() + 1e-3) / (clean.sum() + 1.0))
-        slip = min(0.01, ((clean * lost).sum() + 1e-3) / (clean.sum() + 1.0))
-        spoilt = mass[:, 1:-1]
-        miss = min(0.2, ((spoilt * ~fits).sum() + 0.5) / (spoilt.sum() + 10.0))
-    return pool.assign(chain=[classes[i] for i in post[:, 1:].argmax(axis=1) + 1], p_clean=post[:, 0])
+NODES = "array<struct<chain:string,hits:int,left:int,lost:int>>"
 
 
 def _evidence_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        found = [evidence(t) for t in pdf["text"]]
-        yield pd.DataFrame({"field": pdf["field"], "source": pdf["source"], "id": pdf["id"], "chains": [e[0] for e in found], "units": [e[1] for e in found], "lost": [e[2] for e in found]})
+        nodes = [[dict(zip(("chain", "hits", "left", "lost"), e, strict=True)) for e in evidence(t)] for t in pdf["text"]]
+        yield pdf[["field", "source", "id"]].assign(nodes=nodes)
+
+
+def _posterior() -> F.Column:
+    """(chain, p, hits, left, lost) of each class of a row with ``nodes`` and its pool's ``share``, ``chance``, ``slip`` and ``miss``.
+
+    Latent classes: clean (an empty chain), each chain, lost. A clean record shows a sequence by chance with
+    probability ``chance`` and a lost letter with ``slip``; a spoilt one leaves a sequence undecoded with probability
+    ``miss``; a record of lost letters loses one in two.
+    """
+    root = F.col("nodes")[0]
+
+    def of(chain, like, node):
+        prior = F.coalesce(F.try_element_at("share", chain), F.lit(1e-6))
+        return F.struct(chain.alias("chain"), (like + F.log(prior)).alias("l"), node["hits"].alias("hits"), node["left"].alias("left"), node["lost"].alias("lost"))
+
+    clean = of(F.lit(""), root["left"] * F.log("chance") + root["lost"] * F.log("slip"), root)
+    lost = of(F.lit("lost"), F.when(root["lost"] > 0, root["left"] * F.log("chance") + root["lost"] * F.log(F.lit(0.5))).otherwise(-1e9), root)
+    spoilt = F.transform(
+        F.filter("nodes", lambda x: x["chain"] != ""),
+        lambda x: of(x["chain"], x["hits"] * F.log(1 - F.col("miss")) + x["left"] * F.log(F.col("miss") * F.col("chance")) + x["lost"] * F.log(F.greatest("slip", F.lit(0.05))), x),
+    )
+    return F.concat(F.array(clean, lost), spoilt)
+
+
+def _judged(rows: DataFrame, pools: DataFrame) -> DataFrame:
+    """``rows`` (field, source, nodes, ...) with ``post``: the classes of each and their probabilities."""
+    joint = rows.join(pools, ["field", "source"]).withColumn("joint", _posterior())
+    joint = joint.withColumn("top", F.array_max(F.transform("joint", lambda x: x["l"])))
+    joint = joint.withColumn("total", F.aggregate("joint", F.lit(0.0), lambda s, x: s + F.exp(x["l"] - F.col("top"))))
+    post = F.transform("joint", lambda x: F.struct((F.exp(x["l"] - F.col("top")) / F.col("total")).alias("p"), x["chain"].alias("chain"), x["hits"].alias("hits"), x["left"].alias("left"), x["lost"].alias("lost")))
+    return joint.withColumn("post", post).drop("joint", "top", "total")
+
+
+def _maximized(signatures: DataFrame, pools: DataFrame) -> DataFrame:
+    """The shares of the classes and the three rates of each pool that its records' posteriors make most likely, with pseudo-counts."""
+    x = _judged(signatures, pools).select("field", "source", "n", F.explode("post").alias("c"))
+    mass = F.col("n") * F.col("c.p")
+    by_class = x.groupBy("field", "source", F.col("c.chain").alias("chain")).agg(
+        F.sum(mass).alias("mass"), F.sum(mass * F.col("c.left")).alias("left"), F.sum(mass * F.col("c.lost")).alias("lost"), F.sum(mass * (F.col("c.hits") + F.col("c.left"))).alias("units"),
+    )
+    only = lambda kind, value: F.sum(F.when(kind, F.col(value)).otherwise(0.0))
+    clean, spoilt = F.col("chain") == "", ~F.col("chain").isin("", "lost")
+    pooled = by_class.groupBy("field", "source").agg(
+        F.map_from_entries(F.collect_list(F.struct("chain", "mass"))).alias("share"), (F.sum("mass") + 0.01 * F.count("*")).alias("whole"),
+        F.least(F.lit(0.01), (only(clean, "left") + 1e-3) / (only(clean, "mass") + 1.0)).alias("chance"),
+        F.least(F.lit(0.01), (only(clean, "lost") + 1e-3) / (only(clean, "mass") + 1.0)).alias("slip"),
+        F.least(F.lit(0.2), (only(spoilt, "left") + 0.5) / (only(spoilt, "units") + 10.0)).alias("miss"),
+    )
+    return pooled.select("field", "source", F.transform_values("share", lambda k, v: (v + 0.01) / F.col("whole")).alias("share"), "chance", "slip", "miss")
+
+
+def encoding_pools(signatures: DataFrame) -> DataFrame:
+    """(field, source, share map, chance, slip, miss) of each pool, by expectation-maximization until nothing moves.
+
+    ``signatures``: (field, source, nodes, n), how many records of the pool have the evidence ``nodes``. Raises if the
+    rounds don't settle, which their likelihood, rising each time, rules out but for the width of numbers.
+    """
+    chains = signatures.select("field", "source", F.explode("nodes.chain").alias("chain")).where("chain <> ''").unionByName(signatures.select("field", "source", F.lit("lost").alias("chain"))).distinct()
+    start = chains.groupBy("field", "source").agg(F.collect_list("chain").alias("chains"))
+    pools = cut(start.select(
+        "field", "source", F.map_from_entries(F.concat(F.array(F.struct(F.lit("").alias("k"), F.lit(0.98).alias("v"))), F.transform("chains", lambda c: F.struct(c.alias("k"), (F.lit(0.02) / F.size("chains")).alias("v"))))).alias("share"),
+        F.lit(1e-3).alias("chance"), F.lit(1e-3).alias("slip"), F.lit(0.05).alias("miss"),
+    ))
+    for _ in range(200):
+        after = pools
+        for _ in range(STEP):
+            after = _maximized(signatures, after)
+        after = cut(after)
+        before = pools.select("field", "source", F.col("share").alias("share_"), F.col("miss").alias("miss_"))
+        moved = F.greatest(F.array_max(F.transform(F.map_entries("share"), lambda e: F.abs(e["value"] - F.coalesce(F.try_element_at("share_", e["key"]), F.lit(0.0))))), F.abs(F.col("miss") - F.col("miss_")))
+        pools = after
+        if (after.join(before, ["field", "source"]).agg(F.max(moved)).first()[0] or 0.0) < SETTLED:
+            return pools
+    raise RuntimeError("encoding shares did not settle")
 
 
 def garbled(records: DataFrame) -> DataFrame:
     """(field, id, chain, p_clean) of the records of ``records`` (field, source, id, text) that are spoilt.
 
-    ``chain`` is the codec, or lost where nothing can be restored. Rows repeated under one field and id count once;
-    null and empty texts are clean; a null source is a pool of its own. Evidence is summed up per pool by its
-    signature (at most some hundred of them), so no pool is gathered row by row.
+    ``chain`` names the codecs, the outermost first, or is lost where nothing can be restored. Rows repeated under one
+    field and id count once, in the pools too; null and empty texts are clean; a null source is a pool of its own.
     """
     rows = records.select("field", F.coalesce("source", F.lit("")).alias("source"), F.col("id").cast("string").alias("id"), "text")
     suspect = rows.where(suspicious(F.col("text")))
-    seen = suspect.mapInPandas(_evidence_of, "field string, source string, id string, chains string, units int, lost int").where("units > 0 or lost > 0").dropDuplicates(["field", "id"])
+    seen = suspect.mapInPandas(_evidence_of, f"field string, source string, id string, nodes {NODES}").where(F.size("nodes") > 0).dropDuplicates(["field", "id"])
     seen = cut(seen)
-    plain = rows.groupBy("field", "source").agg(F.count("*").alias("n")).select("field", "source", F.lit("").alias("chains"), F.lit(0).alias("units"), F.lit(0).alias("lost"), "n")
-    signatures = seen.groupBy("field", "source", "chains", "units", "lost").agg(F.count("*").alias("n")).unionByName(plain)
-    schema = "field string, source string, chains string, units int, lost int, n long, chain string, p_clean double"
-    judged = signatures.groupBy("field", "source").applyInPandas(posteriors, schema).where("p_clean < 0.5 and (units > 0 or lost > 0)").drop("n")
-    return seen.join(judged, ["field", "source", "chains", "units", "lost"]).select("field", "id", "chain", "p_clean")
+    spoken = seen.groupBy("field", "source").agg(F.count("*").alias("seen"))
+    everything = rows.select("field", "source", "id").distinct().groupBy("field", "source").agg(F.count("*").alias("n"))
+    plain = F.array(F.struct(F.lit("").alias("chain"), *(F.lit(0).alias(c) for c in ("hits", "left", "lost")))).cast(NODES)
+    silent = everything.join(spoken, ["field", "source"], "left").select("field", "source", plain.alias("nodes"), (F.col("n") - F.coalesce("seen", F.lit(0))).alias("n"))
+    signatures = cut(seen.groupBy("field", "source", "nodes").agg(F.count("*").alias("n")).unionByName(silent))
+    judged = _judged(seen, encoding_pools(signatures))
+    best = F.array_max(F.transform(F.filter("post", lambda x: x["chain"] != ""), lambda x: F.struct(x["p"], x["hits"], x["chain"])))
+    return judged.select("field", "id", best["chain"].alias("chain"), F.filter("post", lambda x: x["chain"] == "")[0]["p"].alias("p_clean")).where("p_clean < 0.5")
 
 
 def repaired(records: DataFrame) -> DataFrame:

@@ -64,11 +64,14 @@ def test_garbling_round_trip(codec):
     text = "మా తాత café చూశాడు — “సరే”"
     table = {b: c for c, b in encodings._byte_of(codec).items()}
     spoil = lambda t: "".join(table[b] if b > 127 else chr(b) for b in t.encode())
-    chains, units, _ = encodings.evidence(spoil(text))
-    assert codec in chains.split("+") and units == encodings.MOST
+    nodes = {chain: (hits, left) for chain, hits, left, _ in encodings.evidence(spoil(text))}
+    # rivals that make the same of the text stand under the first of them, every other one beside it
+    assert any(encodings.repair(spoil(text), c) == text and hits == 18 and not left for c, (hits, left) in nodes.items() if c and ">" not in c)
+    assert nodes[""] == (0, 18) and encodings.evidence(text) == []
     assert encodings.repair(spoil(text), codec) == text
     if codec in ("latin1", "cp1252"):  # applied twice, the others leave letters that no unit begins with
-        assert encodings.repair(spoil(spoil(text)), codec) == text
+        assert encodings.repair(spoil(spoil(text)), f"{codec}>{codec}") == text
+        assert any(encodings.repair(spoil(spoil(text)), c) == text for c, *_ in encodings.evidence(spoil(spoil(text))) if c)
 
 
 def test_garbled_records(spark):
@@ -80,6 +83,21 @@ def test_garbled_records(spark):
     assert encodings.garbled(df.limit(0)).count() == 0
 
 
+def test_chains_are_told_apart_and_undone(spark):
+    plain = "మా తాత café చూశాడు — “సరే” నీరు పిల్లలు కిటికీ"
+    twice = lambda t, *codecs: __import__("functools").reduce(lambda x, c: "".join(encodings.codec(c).byte and {b: k for k, b in encodings.codec(c).byte.items()}[b] if b > 127 else chr(b) for b in x.encode()), codecs, t)
+    kinds = {"one": ("cp1252",), "other": ("cp1251",), "two": ("cp1252", "cp1252"), "old": ("cp437",)}
+    data = [("f", "s", f"c{i}", plain + str(i)) for i in range(200)]
+    data += [("f", "s", f"{k}{i}", twice(f"{plain} {i}", *codecs)) for k, codecs in kinds.items() for i in range(12)]
+    df = spark.createDataFrame(data, "field string, source string, id string, text string")
+    back = dict(rows(encodings.repaired(df), "id", "text"))
+    assert back == {f"{k}{i}": f"{plain} {i}" for k in kinds for i in range(12)}
+    # the cheap test lets through all that has evidence
+    every = spark.createDataFrame([(k, f"x {c} y {c}?{c} ?{c}") for k, c in enumerate([*encodings.codec("koi8_r").byte, *encodings.codec("cp437").byte, "�", "a", "అ"])], "id int, text string")
+    kept = {r["id"] for r in every.where(encodings.suspicious(every["text"])).collect()}
+    assert {r["id"] for r in every.collect() if encodings.evidence(r["text"])} <= kept
+
+
 # p3
 
 
