@@ -13,8 +13,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punji.runtime import cut
@@ -22,6 +23,8 @@ from punji.runtime import cut
 CODECS = ("cp1252", "latin1", "cp1251", "cp437", "mac_roman", "cp850", "cp866", "koi8_r", "cp1250")
 SETTLED = 1e-3  # rounds end where no share or rate of any pool moves by more
 STEP = 3  # rounds between two looks at that
+TOO_MANY = 8  # sequences left above the fewest, with which a chain's posterior is below 1e-12 whatever the pool
+TASK_ROWS = 500_000  # chains of signatures that a task weighs at a time
 
 # Lost letters: a question mark that begins a word or stands between letters (emphatic ones follow a word).
 LOST = r"(?:^|(?<=\s))\?|(?<=[A-Za-zఀ-౿])\?(?=[A-Za-zఀ-౿])"
@@ -111,7 +114,8 @@ def evidence(text: str) -> list[tuple[str, int, int, int]]:
     ``hits``: sequences that the chain's codecs decode, ``left``: those that each codec leaves which a rival would have
     decoded in its place, with the most that any could still decode behind the chain, ``lost``: letters lost for good.
     Every undoing makes the text shorter, so chains end by themselves; of chains that lead to the same text the one
-    that leaves least counts. Nothing is listed for a text without any evidence.
+    that leaves least counts. Chains that leave TOO_MANY more than another are not listed, and nothing is for a text
+    without any evidence.
     """
     marks = len(_LOST.findall(text))
     nodes: dict[str, tuple[tuple[str, ...], int, int]] = {text: ((), 0, 0)}
@@ -128,7 +132,8 @@ def evidence(text: str) -> list[tuple[str, int, int, int]]:
                 todo.append(after)
                 nodes[after] = ((*chain, name), hits + n, missed)
     out = [(">".join(c), hits, left + max(counted[at].values(), default=0), at.count("�") + marks) for at, (c, hits, left) in nodes.items()]
-    return out if out[0][2] or out[0][3] else []
+    fewest = min(left for _, _, left, _ in out)
+    return [out[0], *(e for e in out[1:] if e[2] <= fewest + TOO_MANY)] if out[0][2] or out[0][3] else []
 
 
 def repair(text: str, chain: str) -> str:
@@ -147,80 +152,102 @@ def _evidence_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["field", "source", "id"]].assign(nodes=nodes)
 
 
-def _posterior() -> F.Column:
-    """(chain, p, hits, left, lost) of each class of a row with ``nodes`` and its pool's ``share``, ``chance``, ``slip`` and ``miss``.
-
-    Latent classes: clean (an empty chain), each chain, lost. A clean record shows a sequence by chance with
-    probability ``chance`` and a lost letter with ``slip``; a spoilt one leaves a sequence undecoded with probability
-    ``miss``; a record of lost letters loses one in two.
-    """
+def _flat(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (field, source, nodes, ``key``, ...) with a row for each class: clean (no chain), lost, and every chain."""
     root = F.col("nodes")[0]
+    lost = F.struct(F.lit("lost").alias("chain"), F.lit(0).alias("hits"), root["left"].alias("left"), root["lost"].alias("lost"))
+    listed = F.explode(F.concat("nodes", F.when(root["lost"] > 0, F.array(lost)).otherwise(F.array().cast(NODES))))
+    return rows.select(*(c for c in rows.columns if c != "nodes"), listed.alias("c")).select(*(c for c in rows.columns if c != "nodes"), "c.*").withColumnRenamed(key, "row")
 
-    def of(chain, like, node):
-        prior = F.coalesce(F.try_element_at("share", chain), F.lit(1e-6))
-        return F.struct(chain.alias("chain"), (like + F.log(prior)).alias("l"), node["hits"].alias("hits"), node["left"].alias("left"), node["lost"].alias("lost"))
-
-    clean = of(F.lit(""), root["left"] * F.log("chance") + root["lost"] * F.log("slip"), root)
-    lost = of(F.lit("lost"), F.when(root["lost"] > 0, root["left"] * F.log("chance") + root["lost"] * F.log(F.lit(0.5))).otherwise(-1e9), root)
-    spoilt = F.transform(
-        F.filter("nodes", lambda x: x["chain"] != ""),
-        lambda x: of(x["chain"], x["hits"] * F.log(1 - F.col("miss")) + x["left"] * F.log(F.col("miss") * F.col("chance")) + x["lost"] * F.log(F.greatest("slip", F.lit(0.05))), x),
-    )
-    return F.concat(F.array(clean, lost), spoilt)
-
-
-def _judged(rows: DataFrame, pools: DataFrame) -> DataFrame:
-    """``rows`` (field, source, nodes, ...) with ``post``: the classes of each and their probabilities."""
-    joint = rows.join(pools, ["field", "source"]).withColumn("joint", _posterior())
-    joint = joint.withColumn("top", F.array_max(F.transform("joint", lambda x: x["l"])))
-    joint = joint.withColumn("total", F.aggregate("joint", F.lit(0.0), lambda s, x: s + F.exp(x["l"] - F.col("top"))))
-    post = F.transform("joint", lambda x: F.struct((F.exp(x["l"] - F.col("top")) / F.col("total")).alias("p"), x["chain"].alias("chain"), x["hits"].alias("hits"), x["left"].alias("left"), x["lost"].alias("lost")))
-    return joint.withColumn("post", post).drop("joint", "top", "total")
 
+def _posterior(rows: pd.DataFrame, pool: pd.DataFrame) -> np.ndarray:
+    """The probability of each class of ``rows`` (row, chain, hits, left, lost), the classes of a row one behind the other.
 
-def _maximized(signatures: DataFrame, pools: DataFrame) -> DataFrame:
+    ``pool`` (chain, share, chance, slip, miss). A clean record shows a sequence by chance with probability ``chance`` and
+    a lost letter with ``slip``; a spoilt one leaves a sequence undecoded with probability ``miss``; a record of lost
+    letters loses one in two.
+    """
+    share = dict(zip(pool["chain"], pool["share"], strict=True))
+    chance, slip, miss = (float(pool[c].iloc[0]) for c in ("chance", "slip", "miss"))
+    chain = rows["chain"].to_numpy(dtype=object)
+    hits, left, lost = (rows[c].to_numpy(dtype=float) for c in ("hits", "left", "lost"))
+    like = hits * np.log(1 - miss) + left * np.log(miss * chance) + lost * np.log(max(slip, 0.05))
+    like = np.where(chain == "", left * np.log(chance) + lost * np.log(slip), like)
+    like = np.where(chain == "lost", left * np.log(chance) + lost * np.log(0.5), like)
+    like += np.log([share.get(c, 1e-6) for c in chain])
+    first = np.flatnonzero(np.r_[True, rows["row"].to_numpy()[1:] != rows["row"].to_numpy()[:-1]])
+    size = np.diff(np.r_[first, len(rows)])
+    weight = np.exp(like - np.repeat(np.maximum.reduceat(like, first), size))
+    return weight / np.repeat(np.add.reduceat(weight, first), size)
+
+
+def _with_pools(rows: DataFrame, pools: DataFrame, salts: int, weigh, schema: str) -> DataFrame:
+    """``weigh`` (rows, pool) for the classes in ``rows`` (field, source, row, ...) of each pool, a large pool in parts."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
+    copied = pools.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    key = ("field", "source", "salt")
+    return salted.groupBy(*key).cogroup(copied.groupBy(*key)).applyInPandas(weigh, schema)
+
+
+def _expected(rows: pd.DataFrame, pool: pd.DataFrame) -> pd.DataFrame:
+    if not len(rows) or not len(pool):
+        return pd.DataFrame(columns=["field", "source", "chain", "mass", "left", "lost", "units"])
+    rows = rows.sort_values("row", kind="stable")
+    mass = _posterior(rows, pool) * rows["n"].to_numpy(dtype=float)
+    sums = pd.DataFrame({"chain": rows["chain"], "mass": mass, "left": mass * rows["left"], "lost": mass * rows["lost"], "units": mass * (rows["hits"] + rows["left"])}).groupby("chain", as_index=False).sum()
+    return sums.assign(field=rows["field"].iloc[0], source=rows["source"].iloc[0])
+
+
+def _maximized(signatures: DataFrame, pools: DataFrame, salts: int) -> DataFrame:
     """The shares of the classes and the three rates of each pool that its records' posteriors make most likely, with pseudo-counts."""
-    x = _judged(signatures, pools).select("field", "source", "n", F.explode("post").alias("c"))
-    mass = F.col("n") * F.col("c.p")
-    by_class = x.groupBy("field", "source", F.col("c.chain").alias("chain")).agg(
-        F.sum(mass).alias("mass"), F.sum(mass * F.col("c.left")).alias("left"), F.sum(mass * F.col("c.lost")).alias("lost"), F.sum(mass * (F.col("c.hits") + F.col("c.left"))).alias("units"),
-    )
-    only = lambda kind, value: F.sum(F.when(kind, F.col(value)).otherwise(0.0))
+    parts = _with_pools(signatures, pools, salts, _expected, "field string, source string, chain string, mass double, left double, lost double, units double")
+    sums = parts.groupBy("field", "source", "chain").agg(*(F.sum(c).alias(c) for c in ("mass", "left", "lost", "units")))
+    pool = Window.partitionBy("field", "source")
     clean, spoilt = F.col("chain") == "", ~F.col("chain").isin("", "lost")
-    pooled = by_class.groupBy("field", "source").agg(
-        F.map_from_entries(F.collect_list(F.struct("chain", "mass"))).alias("share"), (F.sum("mass") + 0.01 * F.count("*")).alias("whole"),
-        F.least(F.lit(0.01), (only(clean, "left") + 1e-3) / (only(clean, "mass") + 1.0)).alias("chance"),
-        F.least(F.lit(0.01), (only(clean, "lost") + 1e-3) / (only(clean, "mass") + 1.0)).alias("slip"),
-        F.least(F.lit(0.2), (only(spoilt, "left") + 0.5) / (only(spoilt, "units") + 10.0)).alias("miss"),
+    of = lambda kind, c: F.sum(F.when(kind, F.col(c)).otherwise(0.0)).over(pool)
+    return sums.select(
+        "field", "source", "chain", ((F.col("mass") + 0.01) / (F.sum("mass").over(pool) + 0.01 * F.count("*").over(pool))).alias("share"),
+        F.least(F.lit(0.01), (of(clean, "left") + 1e-3) / (of(clean, "mass") + 1.0)).alias("chance"),
+        F.least(F.lit(0.01), (of(clean, "lost") + 1e-3) / (of(clean, "mass") + 1.0)).alias("slip"),
+        F.least(F.lit(0.2), (of(spoilt, "left") + 0.5) / (of(spoilt, "units") + 10.0)).alias("miss"),
     )
-    return pooled.select("field", "source", F.transform_values("share", lambda k, v: (v + 0.01) / F.col("whole")).alias("share"), "chance", "slip", "miss")
 
 
 def encoding_pools(signatures: DataFrame) -> DataFrame:
-    """(field, source, share map, chance, slip, miss) of each pool, by expectation-maximization until nothing moves.
+    """(field, source, chain, share, chance, slip, miss) of each pool, by expectation-maximization until nothing moves.
 
-    ``signatures``: (field, source, nodes, n), how many records of the pool have the evidence ``nodes``. Raises if the
-    rounds don't settle, which their likelihood, rising each time, rules out but for the width of numbers.
+    ``signatures``: (field, source, row, n, chain, hits, left, lost), the classes of each kind of evidence and how many
+    records show it. Raises if the rounds don't settle, which the rising likelihood rules out.
     """
-    chains = signatures.select("field", "source", F.explode("nodes.chain").alias("chain")).where("chain <> ''").unionByName(signatures.select("field", "source", F.lit("lost").alias("chain"))).distinct()
-    start = chains.groupBy("field", "source").agg(F.collect_list("chain").alias("chains"))
-    pools = cut(start.select(
-        "field", "source", F.map_from_entries(F.concat(F.array(F.struct(F.lit("").alias("k"), F.lit(0.98).alias("v"))), F.transform("chains", lambda c: F.struct(c.alias("k"), (F.lit(0.02) / F.size("chains")).alias("v"))))).alias("share"),
-        F.lit(1e-3).alias("chance"), F.lit(1e-3).alias("slip"), F.lit(0.05).alias("miss"),
-    ))
+    salts = max(1, -(-signatures.count() // TASK_ROWS))
+    pool = Window.partitionBy("field", "source")
+    start = signatures.select("field", "source", "chain").distinct().withColumn("share", F.when(F.col("chain") == "", 0.98).otherwise(0.02 / F.greatest(F.count("*").over(pool) - 1, F.lit(1))))
+    pools = cut(start.select("*", F.lit(1e-3).alias("chance"), F.lit(1e-3).alias("slip"), F.lit(0.05).alias("miss")))
     for _ in range(200):
         after = pools
         for _ in range(STEP):
-            after = _maximized(signatures, after)
+            after = _maximized(signatures, after, salts)
         after = cut(after)
-        before = pools.select("field", "source", F.col("share").alias("share_"), F.col("miss").alias("miss_"))
-        moved = F.greatest(F.array_max(F.transform(F.map_entries("share"), lambda e: F.abs(e["value"] - F.coalesce(F.try_element_at("share_", e["key"]), F.lit(0.0))))), F.abs(F.col("miss") - F.col("miss_")))
+        before = pools.select("field", "source", "chain", F.col("share").alias("share_"), F.col("miss").alias("miss_"))
+        moved = F.greatest(F.abs(F.col("share") - F.col("share_")), F.abs(F.col("miss") - F.col("miss_")))
         pools = after
-        if (after.join(before, ["field", "source"]).agg(F.max(moved)).first()[0] or 0.0) < SETTLED:
+        if (after.join(before, ["field", "source", "chain"]).agg(F.max(moved)).first()[0] or 0.0) < SETTLED:
             return pools
     raise RuntimeError("encoding shares did not settle")
 
 
+def _decided(rows: pd.DataFrame, pool: pd.DataFrame) -> pd.DataFrame:
+    if not len(rows) or not len(pool):
+        return pd.DataFrame(columns=["field", "id", "chain", "p_clean"])
+    rows = rows.sort_values("row", kind="stable")
+    rows = rows.assign(p=_posterior(rows, pool))
+    clean = rows[rows["chain"] == ""].set_index("row")["p"]
+    best = rows[rows["chain"] != ""].sort_values(["row", "p", "hits", "chain"], ascending=[True, False, False, True]).drop_duplicates("row")
+    best = best.assign(p_clean=best["row"].map(clean))
+    best = best[best["p_clean"] < 0.5]
+    return pd.DataFrame({"field": best["field"], "id": best["row"], "chain": best["chain"], "p_clean": best["p_clean"]})
+
+
 def garbled(records: DataFrame) -> DataFrame:
     """(field, id, chain, p_clean) of the records of ``records`` (field, source, id, text) that are spoilt.
 
@@ -235,10 +262,10 @@ def garbled(records: DataFrame) -> DataFrame:
     everything = rows.select("field", "source", "id").distinct().groupBy("field", "source").agg(F.count("*").alias("n"))
     plain = F.array(F.struct(F.lit("").alias("chain"), *(F.lit(0).alias(c) for c in ("hits", "left", "lost")))).cast(NODES)
     silent = everything.join(spoken, ["field", "source"], "left").select("field", "source", plain.alias("nodes"), (F.col("n") - F.coalesce("seen", F.lit(0))).alias("n"))
-    signatures = cut(seen.groupBy("field", "source", "nodes").agg(F.count("*").alias("n")).unionByName(silent))
-    judged = _judged(seen, encoding_pools(signatures))
-    best = F.array_max(F.transform(F.filter("post", lambda x: x["chain"] != ""), lambda x: F.struct(x["p"], x["hits"], x["chain"])))
-    return judged.select("field", "id", best["chain"].alias("chain"), F.filter("post", lambda x: x["chain"] == "")[0]["p"].alias("p_clean")).where("p_clean < 0.5")
+    kinds = seen.groupBy("field", "source", "nodes").agg(F.count("*").alias("n")).unionByName(silent).withColumn("kind", F.xxhash64("nodes"))
+    pools = encoding_pools(cut(_flat(kinds, "kind")))
+    salts = max(1, -(-seen.count() * 4 // TASK_ROWS))
+    return _with_pools(_flat(seen, "id"), pools, salts, _decided, "field string, id string, chain string, p_clean double")
 
 
 def repaired(records: DataFrame) -> DataFrame:
