@@ -1,15 +1,14 @@
 """p3: freely typed values mapped to the entry of a reference list that they mean.
 
 The forms of every reference entry (name, other names, words in another order, a word left out, run together,
-initials) stand in a BK-tree under the Levenshtein metric on reduced keys. The tree is broadcast: the list is bounded
-by MAX_REFERENCES, beyond that its shards are searched one after the other and the shards' winners merged. The
-triangle inequality prunes; every form within the threshold is returned and ranked.
+initials) stand in a BK-tree under the Levenshtein metric on reduced keys. The list is cut into shards of about
+SHARD_REFERENCES entries, a tree each, and every block of values meets every shard; the triangle inequality prunes,
+every form within the threshold is returned and ranked, and the shards' winners are merged.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,10 +17,13 @@ from pyspark.sql import functions as F
 from punji.functions.edit import levenshtein
 from punji.functions.translit import reduced_key
 from punji.llm.lookalikes import plain_look
+from punji.runtime import cut
 
-MAX_REFERENCES = 20_000  # reference entries in one broadcast tree
+SHARD_REFERENCES = 20_000  # reference entries in one tree
+BLOCK_VALUES = 50_000  # distinct values that a task holds against a shard
 # Words that people put before or behind a series' name.
 AROUND = frozenset("శీర్షిక series భాగం ప్రత్యేకం కొనసాగింపు సంచిక part no old vol volume column special new contd continued issue ధారావాహిక".split())
+NOTHING = 999.0  # the cost where no entry is meant
 _WORD = re.compile(r"[^\s,_\-:;*'\"“”‘’()#/|\[\]]+")
 
 
@@ -105,9 +107,7 @@ class Matcher:
         if key not in self._found:
             if len(self._found) > 100_000:
                 self._found.clear()
-            # nothing costs less than a whole name met exactly, but a form with a handicap can be beaten by one nearby
-            exact = any(handicap == 0 for handicap, _, _ in self.owner.get(key, ()))
-            self._found[key] = [(0, key)] if exact else self.tree.within(key, tolerance(key))
+            self._found[key] = self.tree.within(key, tolerance(key))
         return self._found[key]
 
     def best(self, value: str) -> tuple[float, int] | None:
@@ -137,27 +137,25 @@ def map_values(values: DataFrame, references: DataFrame) -> DataFrame:
     """(value, reference_id, cost) of each distinct non-null ``value``; reference_id 0 where nothing is meant.
 
     ``references``: (reference_id int, name string), several names an id allowed; null names are left out and an empty
-    list maps everything to 0. Ties go to the smaller id. Values may repeat; blank ones get 0.
+    list maps everything to 0. Ties go to the smaller id. Values may repeat; blank ones get 0. Neither side is
+    collected: the entries of a shard go to each block of values, whatever the length of either list.
     """
-    listed = [(r[0], r[1]) for r in references.where("name is not null").select("reference_id", "name").distinct().limit(50 * MAX_REFERENCES).collect()]
-    if len(listed) == 50 * MAX_REFERENCES:
-        raise ValueError("the reference list is beyond what the driver may hold; map against parts of it")
-    shards = [sorted(listed)[i : i + MAX_REFERENCES] for i in range(0, len(listed), MAX_REFERENCES)]
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an explicit number, as small values cost much here and would be merged into one task by their bytes
-    distinct = values.select("value").where("value is not null").repartition(parts, "value").distinct()
-
-    def winners(batches: Iterator[pd.DataFrame], shard) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(shard)
-        for pdf in batches:
-            best = [matcher.best(v) or (999.0, 0) for v in pdf["value"]]
-            yield pd.DataFrame({"value": pdf["value"], "cost": [b[0] for b in best], "reference_id": [b[1] for b in best]})
-
-    schema = "value string, cost double, reference_id int"
-    if not shards:
-        return distinct.select("value", F.lit(0).alias("reference_id"), F.lit(999.0).alias("cost"))
-    found = None
-    for shard in shards:
-        part = distinct.mapInPandas(lambda it, s=shard: winners(it, s), schema)
-        found = part if found is None else found.unionByName(part)
+    distinct = cut(values.select("value").where("value is not null").distinct())
+    listed = cut(references.where("name is not null and reference_id is not null").select("reference_id", "name").distinct())
+    shards = max(1, -(-listed.count() // SHARD_REFERENCES))
+    blocks = max(parts, -(-distinct.count() // BLOCK_VALUES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    typed = distinct.select("value", F.pmod(F.xxhash64("value"), F.lit(blocks)).cast("int").alias("block")).select("*", every(shards).alias("shard"))
+    # all names of an entry in one shard; a task has one block and one shard
+    known = listed.select("reference_id", "name", F.pmod(F.xxhash64("reference_id"), F.lit(shards)).cast("int").alias("shard")).select("*", every(blocks).alias("block"))
+
+    def winners(typed: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        matcher = Matcher(sorted(zip(known["reference_id"].tolist(), known["name"].tolist(), strict=True)))
+        best = [matcher.best(v) or (NOTHING, 0) for v in typed["value"]]
+        return pd.DataFrame({"value": typed["value"], "cost": [b[0] for b in best], "reference_id": [b[1] for b in best]})
+
+    # an explicit number of tasks, as small values cost much here and would be merged into one task by their bytes
+    sides = (side.repartition(blocks * shards, "block", "shard").groupBy("block", "shard") for side in (typed, known))
+    found = next(sides).cogroup(next(sides)).applyInPandas(winners, "value string, cost double, reference_id int")
     return found.groupBy("value").agg(F.min_by("reference_id", F.struct("cost", "reference_id")).alias("reference_id"), F.min("cost").alias("cost"))

@@ -23,35 +23,38 @@ BLANKS = "               　"
 # Cyrillic and Greek letters drawn like Latin ones.
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХаеѕіјорсухԁԛԝһӏ", "ABESIJKMHOPCTYXaesijopcyxdqwhl")
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανικρυ", "ABEZHIKMNOPTYXoavikpu")
+# Armenian and Cherokee letters drawn like Latin ones.
+ARMENIAN = ("օսհցԼՏՕ", "ouhgLSO")
+CHEROKEE = ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏚᏞᏟᏢᏦᏴ", "DRTAJEWMHGZSLCPKB")
 # Kannada letters lie 0x80 above their Telugu partners; these are drawn alike.
 KANNADA = "ಂಃಅಆಇಈಉಊಒಓಔಗಜಠಡಢಣದಧನಬಭಮಯರಱಲಳವಶಸಾಿುೂೃ್೦೧೨೩೪೫೬೭೮೯"
 
-_ONE = dict(zip(map(ord, CYRILLIC[0] + GREEK[0]), CYRILLIC[1] + GREEK[1], strict=True))
-_ONE |= {ord(c): chr(ord(c) - 0x80) for c in KANNADA} | {ord(c): " " for c in BLANKS} | dict.fromkeys(map(ord, INVISIBLE))
-_WIDE = {0xFF01 + i: chr(0x21 + i) for i in range(94)} | {0xFB00: "ff", 0xFB01: "fi", 0xFB02: "fl", 0xFB03: "ffi", 0xFB04: "ffl"}
-_LETTERS = dict(zip(map(ord, CYRILLIC[0] + GREEK[0]), CYRILLIC[1] + GREEK[1], strict=True))
-_ALWAYS = {k: v for k, v in _ONE.items() if k not in _LETTERS} | _WIDE
+_LETTERS = dict(zip(map(ord, CYRILLIC[0] + GREEK[0] + ARMENIAN[0] + CHEROKEE[0]), CYRILLIC[1] + GREEK[1] + ARMENIAN[1] + CHEROKEE[1], strict=True))
+_ALWAYS = {ord(c): chr(ord(c) - 0x80) for c in KANNADA} | {ord(c): " " for c in BLANKS} | dict.fromkeys(map(ord, INVISIBLE))
+# Full-width forms, joined letters, mathematical letters and Roman numerals, by their compatibility forms.
+COMPATIBLE = ((0xFF01, 0xFF5E), (0xFB00, 0xFB04), (0x1D400, 0x1D7FF), (0x2160, 0x217F))
+_ALWAYS |= {c: unicodedata.normalize("NFKC", chr(c)) for low, high in COMPATIBLE for c in range(low, high + 1) if unicodedata.category(chr(c)) != "Cn"}
 _LATIN = re.compile(r"[A-Za-zＡ-Ｚａ-ｚ]")
 _TELUGU = re.compile(r"[ఀ-౿]")
 _ZERO = re.compile(r"(?<=[అ-ౌ])౦(?![౦-౯])")  # the digit zero behind a letter, for the sign of m
 _RING = re.compile(r"(?<=[అ-ౌ])[oO0○◦](?=[ఀ-౿]|$)")
 # What can make a word differ from its look: the operator's cheap test, run by the JVM.
-SUSPECT = (
-    "[" + "".join(sorted(INVISIBLE + BLANKS)) + CYRILLIC[0] + GREEK[0] + KANNADA + "！-～ﬀ-ﬄ̀-ͯ]"
-    "|[అ-ౌ][౦oO0○◦]|ౖ"
-)
-# A much cheaper test that SUSPECT implies: long classes cost the JVM one call a member for every character.
-UNUSUAL = "[^\\x00-\\x9F\u00A1-\u00AC\u00AE-\u00FF\u0C00-\u0C55\u0C57-\u0C65\u0C67-\u0C7F\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]|[\u0C05-\u0C4C][oO0]"
-
-
-def suspicious(column) -> F.Column:
-    """Whether a text or word can hold anything to be mapped."""
-    return column.rlike(UNUSUAL) & column.rlike(SUSPECT)
+_ODD = "".join(sorted(INVISIBLE + BLANKS)) + "".join(x[0] for x in (CYRILLIC, GREEK, ARMENIAN, CHEROKEE)) + KANNADA + "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in COMPATIBLE) + "\\x{300}-\\x{36F}"
+SUSPECT = f"[{_ODD}]|[అ-ౌ][౦oO0○◦]|ౖ"
+# Much cheaper for whole texts, and implied by it: one pass takes away ASCII and Telugu, but for the two signs that
+# matter, and only the short rest is held against the long class; rings that are ASCII are looked for from themselves.
+PLAIN = r"[\x00-\x7F\x{C00}-\x{C55}\x{C57}-\x{C65}\x{C67}-\x{C7F}]+"
+RING = r"[oO0](?<=[\x{C05}-\x{C4C}].)"
 
 
 def unusual(column) -> F.Column:
     """The cheap test for whole texts, before they are cut into words."""
-    return column.rlike(UNUSUAL)
+    return F.regexp_replace(column, PLAIN, "").rlike(f"[{_ODD}౦○◦ౖ]") | column.rlike(RING)
+
+
+def suspicious(column) -> F.Column:
+    """Whether a text or word can hold anything to be mapped."""
+    return unusual(column) & column.rlike(SUSPECT)
 
 
 def plain_look(text: str) -> str:

@@ -27,21 +27,21 @@ _models: dict[str, object] = {}
 _lengths: dict[str, dict[str, int]] = {}
 
 
-def _model(path: str):
+def _model(path: str, proto: bytes | None = None):
     if path not in _models:
         import sentencepiece
 
-        _models[path] = sentencepiece.SentencePieceProcessor(model_file=path)
+        _models[path] = sentencepiece.SentencePieceProcessor(model_proto=proto) if proto else sentencepiece.SentencePieceProcessor(model_file=path)
         _lengths[path] = {}
     return _models[path], _lengths[path]
 
 
-def count_tokens(texts, path: str = TOKENIZER) -> list[int]:
+def count_tokens(texts, path: str = TOKENIZER, proto: bytes | None = None) -> list[int]:
     """Tokens of each text. Pieces never cross a blank, so words are counted once and remembered.
 
     That holds for texts whose blanks are single and not at the ends; others are encoded whole.
     """
-    model, known = _model(path)
+    model, known = _model(path, proto)
     base = len(model.encode("a"))
     out = []
     for text in texts:
@@ -64,11 +64,16 @@ def count_tokens(texts, path: str = TOKENIZER) -> list[int]:
 
 
 def token_sizes(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, tokens) of every document; null and empty texts have 0."""
+    """(doc_id, tokens) of every document; null and empty texts have 0.
+
+    The driver reads the model, of under a megabyte, and sends it along, so the machines need no copy of the file.
+    """
+    with open(path, "rb") as f:
+        shared = documents.sparkSession.sparkContext.broadcast(f.read())
 
     def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": count_tokens(pdf["text"], path)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "tokens": count_tokens(pdf["text"], path, shared.value)})
 
     return documents.select("doc_id", "text").mapInPandas(sizes, "doc_id long, tokens int")
 
@@ -182,11 +187,11 @@ def _pair_sums(held: list[int], sizes: np.ndarray, home: int) -> np.ndarray:
 
 
 def pack(documents: DataFrame, capacities: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(capacity_name, container, doc_id, piece, tokens): every document in containers of every capacity.
+    """(capacity_name, container, doc_id, piece, tokens, first_container): every document in containers of every capacity.
 
     Pieces count from 0; a document within the capacity is one piece. Empty documents are a piece of 0 tokens. A
     doc_id delivered twice is packed once. Capacities that are null or below 1 are left out; an empty table gives no
-    rows. Container names are unique within a capacity.
+    rows. Container names are unique within a capacity; ``first_container`` is where the piece lay before the search.
     """
     sized = cut(token_sizes(documents, path).dropDuplicates(["doc_id"]))
     wanted = F.broadcast(capacities.where("max_tokens > 0").select("capacity_name", "max_tokens").distinct())  # a list of sizes, written by hand
@@ -194,7 +199,7 @@ def pack(documents: DataFrame, capacities: DataFrame, path: str = TOKENIZER) ->
         "capacity_name", "max_tokens", "doc_id",
         F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("tokens") / F.col("max_tokens")).cast("int") - 1, F.lit(0)))).alias("piece"), "tokens",
     ).withColumn("tokens", F.least(F.col("max_tokens"), F.col("tokens") - F.col("piece") * F.col("max_tokens")))
-    full = items.where("tokens = max_tokens").select("capacity_name", F.concat_ws("-", F.lit("full"), "doc_id", "piece").alias("container"), "doc_id", "piece", "tokens")
+    full = items.where("tokens = max_tokens").select("capacity_name", F.concat_ws("-", F.lit("full"), "doc_id", "piece").alias("container"), "doc_id", "piece", "tokens").withColumn("first_container", F.col("container"))
     rest = items.where("tokens < max_tokens")
     shards = max(1, -(-sized.count() // SHARD_ITEMS))
     rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
@@ -203,16 +208,23 @@ def pack(documents: DataFrame, capacities: DataFrame, path: str = TOKENIZER) ->
         pdf = pdf.sort_values(["tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         sizes = pdf["tokens"].to_numpy(dtype=np.int64)
         capacity = int(pdf["max_tokens"].iloc[0])
-        name = np.empty(len(pdf), dtype=object)
-        for k, held in enumerate(local_search(best_fit(sizes, capacity), sizes, capacity)):
-            name[held] = f"{key[1]}-{k}"
-        return pd.DataFrame({"capacity_name": pdf["capacity_name"], "container": name, "doc_id": pdf["doc_id"], "piece": pdf["piece"], "tokens": pdf["tokens"]})
-
-    schema = "capacity_name string, container string, doc_id long, piece int, tokens int"
+        start = best_fit(sizes, capacity)
+        named = {}
+        for column, bins in (("first_container", start), ("container", local_search([list(b) for b in start], sizes, capacity))):
+            named[column] = np.empty(len(pdf), dtype=object)
+            for k, held in enumerate(bins):
+                named[column][held] = f"{key[1]}-{k}"
+        return pd.DataFrame({"capacity_name": pdf["capacity_name"], "doc_id": pdf["doc_id"], "piece": pdf["piece"], "tokens": pdf["tokens"], **named})
+
+    schema = "capacity_name string, container string, doc_id long, piece int, tokens int, first_container string"
     return rest.groupBy("capacity_name", "shard").applyInPandas(fill_shard, schema).unionByName(full)
 
 
 def packing_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
-    """(capacity_name, containers, tokens, fill): how full the containers are on average."""
-    used = packed.groupBy("capacity_name").agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
-    return used.join(capacities, "capacity_name").select("capacity_name", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("max_tokens"))).alias("fill"))
+    """(capacity_name, first_containers, containers, least_containers, tokens, fill): containers before and after the search.
+
+    ``least_containers`` is the number that the tokens need at the very least, ``fill`` how full the containers are.
+    """
+    used = packed.groupBy("capacity_name").agg(F.countDistinct("first_container").alias("first_containers"), F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
+    least = F.ceil(F.col("tokens") / F.col("max_tokens")).alias("least_containers")
+    return used.join(capacities.select("capacity_name", "max_tokens").distinct(), "capacity_name").select("capacity_name", "first_containers", "containers", least, "tokens", (F.col("tokens") / (F.col("containers") * F.col("max_tokens"))).alias("fill"))

@@ -36,7 +36,7 @@ def _series_values(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame,
     typed = table(spark, sf, "catalog_entries").where("kind = 'series'").select(F.lit("catalog_entries.text").alias("record_src"), F.col("id").cast("string").alias("record_id"), F.col("text").alias("value"))
     listed = table(spark, sf, "series_catalog")
     # A value that is a series_name needs no mapping.
-    values = articles.unionByName(typed).where("value is not null").distinct().join(F.broadcast(listed.select(F.col("series_name").alias("value"))), "value", "left_anti")
+    values = articles.unionByName(typed).where("value is not null").distinct().join(listed.select(F.col("series_name").alias("value")), "value", "left_anti")
     other = table(spark, sf, "series_aliases").join(listed, "series_name").select(F.col("series_id").alias("reference_id"), F.col("alias").alias("name"))
     return values, listed.select(F.col("series_id").alias("reference_id"), F.col("series_name").alias("name")).unionByName(other), listed
 
@@ -87,6 +87,10 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return boilerplate.standing_lines(table(spark, sf, "pages")).select(F.col("page_id").cast("int"), F.col("line_no").cast("int"))
 
 
+def p6_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.standing_patterns(table(spark, sf, "pages"))
+
+
 def p6_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return boilerplate.without_standing_lines(table(spark, sf, "pages"))
 
@@ -119,7 +123,7 @@ def p9_composition(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = (p1_found, p1_entities, p2_found, p2_repaired, p3_found, p3_unmatched, p4_found, p4_unified, p5_found, p5_classes, p6_found, p6_cleaned, p7_packing, p7_report, p8_found, p8_near, p9_found, p9_composition)
+    listed = (p1_found, p1_entities, p2_found, p2_repaired, p3_found, p3_unmatched, p4_found, p4_unified, p5_found, p5_classes, p6_found, p6_patterns, p6_cleaned, p7_packing, p7_report, p8_found, p8_near, p9_found, p9_composition)
     return {f.__name__: f for f in listed}
 
 

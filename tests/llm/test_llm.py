@@ -124,7 +124,7 @@ def test_left_out_words_hide_no_entry(spark, monkeypatch):
     cases = {"beta gamma": 2, "alpha beta gamma": 1, "sita durga": 4}
     values = spark.createDataFrame([(v,) for v in cases], "value string")
     for most in (20_000, 2, 1):  # entries in a shard
-        monkeypatch.setattr(canonical, "MAX_REFERENCES", most)
+        monkeypatch.setattr(canonical, "SHARD_REFERENCES", most)
         assert dict(rows(canonical.map_values(values, refs), "value", "reference_id")) == cases, most
 
 
@@ -139,6 +139,10 @@ def test_looks(spark):
     fixed = dict(rows(lookalikes.unified(df), "id", "text"))
     assert [fixed[str(len(plain) + k)] for k in range(len(odd))] == ["café", "text", "బల్ల", "మంచి బల్ల", "café", "నం", "soft", "field"]
     assert lookalikes.odd_records(df.limit(0)).count() == 0
+    # whatever is mapped passes the cheap tests, in whole texts and in words
+    words = [(k, f"అb{chr(c)}") for k, c in enumerate([*lookalikes._ALWAYS, *lookalikes._LETTERS])] + [(-1, "మo"), (-2, "మ౦"), (-3, "అ◦"), (-4, "కౖ")]
+    held = spark.createDataFrame(words, "id int, word string")
+    assert held.where(lookalikes.suspicious(held["word"])).count() == held.where(lookalikes.unusual(held["word"])).count() == len(words)
 
 
 # p5
@@ -245,6 +249,7 @@ def test_standing_lines(spark):
     lines = boilerplate.page_lines(df)
     sizes = {len(p["pattern"]) for p in boilerplate.frequent_patterns(lines, boilerplate.frequent_lines(lines)).collect()}
     assert sizes == {1, 2, 3}
+    assert ("pub", "header • 0\nshare this page\nపేజీ 0", 3, 6) in rows(boilerplate.standing_patterns(df), "source", "pattern", "length", "pages")
     assert boilerplate.standing_lines(df.limit(0)).count() == 0
 
 
