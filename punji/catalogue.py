@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punji.plans import archive_queries
+from punji.plans import archive_queries, article_queries  # noqa: F401  (both register their queries)
 
 
 def entry(spark: SparkSession, sf: str) -> DataFrame:

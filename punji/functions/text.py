@@ -10,10 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Latin letters with marks and the plain letter they are searched as, made from the Unicode data by rule.
-_MARKED = [(chr(c), unicodedata.normalize("NFD", chr(c))[0]) for c in range(0xC0, 0x250) if unicodedata.decomposition(chr(c)) and unicodedata.normalize("NFD", chr(c))[0].isascii()]
-FOLD_FROM = "".join(a for a, _ in _MARKED)
-FOLD_TO = "".join(b for _, b in _MARKED)
+# Small Latin letters with marks and the plain letter they are searched as, made from the Unicode data by rule.
+_MARKED = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in range(0xC0, 0x250) if unicodedata.decomposition(chr(c)) and unicodedata.normalize("NFD", chr(c))[0].isascii() and chr(c).lower() == chr(c)}
+FOLD_FROM = "".join(_MARKED)
+FOLD_TO = "".join(_MARKED.values())
 TOKEN = r"[\p{L}\p{N}\p{Co}\x{0C00}-\x{0C7F}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -35,7 +35,7 @@ def ascii_lower(c: Column) -> Column:
 def fold(c: Column) -> Column:
     """Lower case without Latin marks; Telugu signs stay."""
     low = F.lower(c)
-    return F.when(low.rlike(r"[\x{C0}-\x{24F}]"), F.translate(low, FOLD_FROM.lower(), FOLD_TO.lower())).otherwise(low)
+    return F.when(low.rlike(r"[\x{C0}-\x{24F}]"), F.translate(low, FOLD_FROM, FOLD_TO)).otherwise(low)
 
 
 def tokens(c: Column) -> Column:
@@ -79,6 +79,16 @@ def repair_telugu(c: Column, passes: int = 5) -> Column:
     return out
 
 
+def has_split_virama(c: Column) -> Column:
+    """Whether a joined consonant stands apart from its letter; false for null."""
+    return F.coalesce(c.rlike(rf"{CONSONANT}[ \x{{A0}}\x{{200B}}\x{{200C}}\x{{200D}}]+్{CONSONANT}"), F.lit(False))
+
+
+def collapse_space(c: Column) -> Column:
+    """Each run of white space as one blank, none at the ends; null as empty."""
+    return strip_space(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+
+
 def glyph_counts(c: Column) -> dict[str, Column]:
     """Counts by which a text's glyphs are judged, 0 for null."""
     t = F.coalesce(c, F.lit(""))
@@ -137,6 +147,66 @@ def edition_id_of(path: Column) -> Column:
     return F.when(folder != "", F.concat(folder, F.lit("-"), F.lpad(month, 2, "0"))).when(stem.rlike(r"^\d{4}-\d{2}$"), stem).otherwise(F.regexp_replace(F.lower(stem), "_extracted$", ""))
 
 
+# Month names in file names.
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+
+
+def edition_of_file(path: Column, name: str = "Issue") -> tuple[Column, Column, Column]:
+    """Title, year and month of a file named like jan2002.pdf; an unknown month is January, no date is January 2000."""
+    base = F.lower(F.regexp_extract(path, r"([^/]*)$", 1))
+    word, year = (F.regexp_extract(base, r"([a-z]{3,9})[-_]?(\d{4})", k) for k in (1, 2))
+    number = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(word, 1, 3)), F.lit(0)), F.lit(1)).cast("int")
+    none = word == ""
+    title = F.when(none, F.lit(f"{name} Edition")).otherwise(F.concat(F.lit(f"{name} "), F.initcap(word), F.lit(" "), year))
+    return title, F.when(none, 2000).otherwise(year.try_cast("int")), F.when(none, 1).otherwise(number)
+
+
+def edition_info(path: Column, name: str = "Issue") -> tuple[Column, Column, Column]:
+    """Title, year and month by the edition id of a path, if it is YYYY-MM, else by the file's name."""
+    eid = edition_id_of(path)
+    year, month = (F.regexp_extract(eid, r"^(\d{4})-(\d{2})$", k).try_cast("int") for k in (1, 2))
+    named = F.coalesce(F.try_element_at(F.array(*(F.lit(m.capitalize()) for m in MONTHS)), F.nullif(month, F.lit(0))), month.cast("string"))
+    title, y, m = edition_of_file(path, name)
+    dated = year.isNotNull()
+    return F.when(dated, F.concat(F.lit(f"{name} "), named, F.lit(" "), year.cast("string"))).otherwise(title), F.coalesce(year, y), F.when(dated, month).otherwise(m)
+
+
+def page_indexes(spec: Column, pages: Column) -> Column:
+    """Page numbers from 0 that a list like '1-5,10' names, in order, each once, within ``pages``; all for an empty list."""
+    parts = F.filter(F.transform(F.split(spec, ","), lambda x: F.trim(x)), lambda x: x != "")
+    bounds = F.transform(parts, lambda x: F.struct(F.split(x, "-", 2)[0].try_cast("int").alias("a"), F.coalesce(F.get(F.split(x, "-", 2), F.lit(1)), x).try_cast("int").alias("b")))
+    run = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+    named = F.flatten(F.transform(bounds, lambda r: run(F.greatest(r["a"], F.lit(1)), F.least(r["b"], pages))))
+    return F.when(F.coalesce(spec, F.lit("")) == "", run(F.lit(0), pages - 1)).otherwise(F.array_sort(F.array_distinct(F.transform(named, lambda x: x - 1))))
+
+
+def typed_authors(c: Column) -> Column:
+    """The names of a list typed with commas, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), strip_space), lambda x: x != "")
+
+
+# Words that mark a serial in a contents title, and columns that recur, the first found counting.
+SERIAL = ("సీరియల్", "సీరియలు", "serial")
+COLUMNS = (
+    "తెలుసుకుందాం", "తెలుసుకుందామా", "విద్యార్థులారా", "స్వామి సందేశం", "స్వామి సూక్తులు", "సాయిమాట", "పద్య సూక్తి", "మన చారిత్రక", "బొమ్మల కథ",
+    "స్వామి కథ", "నీతి కథలు", "విజ్ఞానం", "స్వామితో నా అనుభవం",
+)
+
+
+def detect_series(title: Column) -> Column:
+    """The series a contents title names: what stands before dots or a bracket in a serial, else a known column; null for none."""
+    serial = F.greatest(*(title.contains(m) for m in SERIAL))
+    base = F.regexp_replace(F.split(title, r"\.{2,}|\(", 2)[0], r"^[ .]+|[ .]+$", "")
+    known = F.coalesce(*(F.when(title.contains(c), F.lit(c)) for c in COLUMNS))
+    return F.when(serial, F.coalesce(F.nullif(base, F.lit("")), title)).otherwise(known)
+
+
+def glyph_font(font: Column) -> Column:
+    """Whether a font's name is one of the glyph fonts; false for null."""
+    # Parts of the names of fonts that hold glyphs in place of letters.
+    return F.coalesce(F.lower(font).rlike("priyaanka|ajantha|brahma|manupama|royankee|anu|kranthi|ramana|ramanabrush"), F.lit(False))
+
+
 def volume_issue(c: Column) -> tuple[Column, Column]:
     """Volume and issue number named in a text; null where there is none."""
     def number(word: str) -> Column:

@@ -66,33 +66,56 @@ def blocks_of_articles(blocks: DataFrame, articles: DataFrame) -> DataFrame:
     return spans.join(blocks, ["edition_id", "page_number"])
 
 
-def noise(text: Column) -> Column:
-    """Short mastheads and lines of volume or number, and nothing at all."""
+# Months as they stand in mastheads.
+MONTHS = ("జనవరి", "ఫిబ్రవరి", "మార్చి", "ఏప్రిల్", "మే", "జూన్", "జూలై", "ఆగస్టు", "సెప్టెంబర్", "అక్టోబర్", "నవంబర్", "డిసెంబర్")
+MASTHEAD = "మాసపత్రిక"  # what the title line of a page holds; each periodical has its own
+
+
+def noise(text: Column, masthead: str = MASTHEAD) -> Column:
+    """Nothing at all, short lines of volume or number, short mastheads, and a month with its year."""
     t = strip_space(text)
-    return (t == "") | ((t.startswith("సంపుటి") | t.startswith("సంచిక")) & (F.length(t) < 20)) | (t.contains("మాసపత్రిక") & (F.length(t) < 40) & ~t.contains("\n"))
+    short = (t.startswith("సంచిక") & (F.length(t) < 20)) | (t.contains(masthead) & (F.length(t) < 40) & ~t.contains("\n"))
+    dated = t.rlike(rf"(?U)^({'|'.join(MONTHS)})\s+\d{{4}}$")
+    return F.when(t == "", True).when(t.startswith("సంపుటి"), F.length(t) < 20).otherwise(short | dated)
+
+
+def without_leading_noise(text: Column, masthead: str = MASTHEAD) -> Column:
+    """A block's text from its first line that isn't noise."""
+    lines = F.split(strip_space(text), "\n")
+    at = F.array_position(F.transform(lines, lambda x: noise(x, masthead)), False)
+    return F.when(at == 0, "").otherwise(strip_space(F.array_join(F.slice(lines, at.cast("int"), F.size(lines)), "\n")))
+
+
+def block_body(text: Column, masthead: str = MASTHEAD) -> Column:
+    """What a block adds to an article's body, repaired; null for nothing."""
+    rest = without_leading_noise(text, masthead)
+    return F.when(~noise(text, masthead) & (rest != "") & ~noise(rest, masthead), repair_telugu(rest))
 
 
 def article_bodies(blocks: DataFrame, articles: DataFrame) -> DataFrame:
     """(article_id, edition_id, body): the repaired texts of an article's blocks in page and block order."""
-    held = blocks_of_articles(blocks, articles).where(~noise(F.col("text")))
-    parts = F.array_sort(F.collect_list(F.struct("page_number", "at", repair_telugu(F.col("text")).alias("t"))))
+    held = blocks_of_articles(blocks, articles).select("article_id", "edition_id", "page_number", "at", block_body(F.col("text")).alias("t")).where("t is not null")
+    parts = F.array_sort(F.collect_list(F.struct("page_number", "at", "t")))
     return held.groupBy("article_id", "edition_id").agg(parts.alias("p")).select("article_id", "edition_id", F.array_join(F.col("p.t"), "\n\n").alias("body"))
 
 
 def contents_pages(pages: DataFrame, least: int = 6, near: int = 2) -> DataFrame:
     """(edition_id, page_number, score) of the pages that look like a table of contents, close to the edition's best."""
-    scored = pages.dropDuplicates(["id"]).select("edition_id", "page_number", toc_score(F.coalesce("full_text", F.lit(""))).alias("score")).where(F.col("score") >= least)
+    # scored first, so that no text is shuffled to drop pages delivered twice
+    scored = pages.select("id", "edition_id", "page_number", toc_score(F.coalesce("full_text", F.lit(""))).alias("score")).where(F.col("score") >= least).dropDuplicates(["id"]).drop("id")
     best = F.max("score").over(Window.partitionBy("edition_id"))
     return scored.withColumn("best", best).where(F.col("score") >= F.col("best") - near).drop("best")
 
 
-_INLINE = re.compile(r"(\d+)\s*[.،]?\s*(.+?)\s*(?:\.+|\s{2,})\s*(\d+)")
-_TITLED = re.compile(r"(\d+)\s*[.،]?\s*(.+)")
+# What a contents line looks like is fixed by the entries it must yield: number, title and page in one line, parted by
+# dots or a gap; number and title with the page below; number, title and page in three lines.
+_NUMBER = r"(\d+)\s*[.،]?"
+_INLINE = re.compile(_NUMBER + r"\s*(.+?)\s*(?:\.+|\s{2,})\s*(\d+)")
+_TITLED = re.compile(_NUMBER + r"\s*(.+)")
 _INDEX = re.compile(r"(\d{1,2})\s*[.،]?")
 _PAGE = re.compile(r"\d{1,3}")
 # Lines of a contents page that are no entry.
 _NO_ENTRY = ("క్రమసంఖ్య", "విషయాలు", "పుట సంఖ్య", "ఈ సంచికలో", "విషయసూచిక")
-_MONTHS = ("జనవరి", "ఫిబ్రవరి", "మార్చి", "ఏప్రిల్", "మే", "జూన్", "జూలై", "ఆగస్టు", "సెప్టెంబర్", "అక్టోబర్", "నవంబర్", "డిసెంబర్")
 
 
 def contents_entries(text: str) -> list[tuple[int, str, int]]:
@@ -104,7 +127,7 @@ def contents_entries(text: str) -> list[tuple[int, str, int]]:
     while k < len(lines):
         one, two, three = (lines[k + d] if k + d < len(lines) else "" for d in range(3))
         used = 1
-        skip = one.rstrip(" .") in _NO_ENTRY or one.startswith(("సంపుటి", "సంచిక")) or "మాసపత్రిక" in one or (len(one) < 40 and any(m in one for m in _MONTHS))
+        skip = one.rstrip(" .") in _NO_ENTRY or one.startswith(("సంపుటి", "సంచిక")) or "మాసపత్రిక" in one or (len(one) < 40 and any(m in one for m in MONTHS))
         if not skip:
             if m := _INLINE.fullmatch(one):
                 out.append((int(m[1]), tidy(m[2]), int(m[3])))
@@ -123,7 +146,7 @@ def parse_contents(pages: DataFrame) -> DataFrame:
 
     The line parser consumes a varying number of lines, so it runs in Python, on the few pages that scored.
     """
-    texts = pages.dropDuplicates(["id"]).join(contents_pages(pages).select("edition_id", "page_number"), ["edition_id", "page_number"]).select("edition_id", "page_number", "full_text")
+    texts = pages.join(contents_pages(pages).select("edition_id", "page_number"), ["edition_id", "page_number"]).dropDuplicates(["id"]).select("edition_id", "page_number", "full_text")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -138,7 +161,7 @@ def trailing_authors(texts: DataFrame, body: Column, tail: int = 12) -> DataFram
     lines = F.filter(F.transform(F.split(F.coalesce(body, F.lit("")), "\n"), strip_space), lambda x: x != "")
     last = F.when(F.size(lines) > tail, F.slice(lines, -tail, tail)).otherwise(lines)
     marked = F.filter(last, lambda x: x.rlike(r"^[-–—]{1,2}\s*[^\n\-–—]{2,60}$"))
-    named = texts.dropDuplicates(["id"]).select("id", F.explode(marked).alias("line")).select("id", clean_author(F.col("line")).alias("name"))
+    named = texts.select("id", F.explode(marked).alias("line")).select("id", clean_author(F.col("line")).alias("name"))
     return named.where(plausible_author(F.col("name"))).groupBy("id", "name").agg(F.max(F.lit(0.85)).alias("confidence"))
 
 
@@ -157,7 +180,7 @@ def series_in_text(texts: DataFrame, series: DataFrame) -> DataFrame:
     ``series`` is a list written by hand (series_name, series_id); ties of length go to the smaller id.
     """
     # Expressions over a small array of names, so no row is multiplied by the list.
-    names = series.agg(F.array_sort(F.collect_list(F.struct((-F.length("series_name")).alias("l"), "series_id", "series_name"))).alias("names"))
+    names = series.where("series_name <> ''").agg(F.array_sort(F.collect_list(F.struct((-F.length("series_name")).alias("l"), "series_id", "series_name"))).alias("names"))
     held = texts.join(F.broadcast(names)).withColumn("hit", F.get(F.filter("names", lambda n: F.col("text").contains(n["series_name"])), F.lit(0))).where("hit is not null")
     rest = strip_space(F.replace(F.col("text"), F.col("hit.series_name"), F.lit("")))
     number = F.coalesce(F.nullif(F.regexp_extract("text", r"(?:సంచిక|సంఖ్య|no\.?|#)\s*(\d+)", 1), F.lit("")), F.nullif(F.regexp_extract(rest, r"(\d+)\s*$", 1), F.lit("")))

@@ -16,9 +16,13 @@ def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return best.select(*(F.col(k) if k in keys else F.col(f"b.r.{k}").alias(k) for k in rows.columns))
 
 
-def upsert(base: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``base`` with the rows of ``batch`` in place of those with the same keys; the batch's keys must be unique."""
-    return base.join(batch.select(*keys), keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+def upsert(base: DataFrame, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``base`` with the rows of ``batch`` in place of those with the same keys.
+
+    Of several rows of one key in the batch the last by ``order`` counts, without an order the greatest.
+    """
+    one = latest(batch, keys, order or [F.lit(0)])
+    return base.join(one.select(*keys), keys, "left_anti").unionByName(one, allowMissingColumns=True)
 
 
 def delete(base: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:

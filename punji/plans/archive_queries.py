@@ -5,24 +5,25 @@ Rows delivered twice count once; an edition delivered again counts in its latest
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punji.archive import Archive
 from punji.functions import text as T
 from punji.operators import quality, search, segment, tables
-from punji.runtime import table
+from punji.runtime import checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def registered(sql: str | None = None):
+def registered(sql: str):
     def keep(f):
         QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
+        SQL[f.__name__] = sql
         return f
 
     return keep
@@ -49,7 +50,7 @@ AR = "a as (select distinct * from articles)"
 CE = "c as (select distinct * from catalog_entries)"
 PG = "p as (select distinct * from pages)"
 STRIP = lambda x: f"regexp_replace({x}, '^[\\s\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+|[\\s\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+$', '', 'g')"
-TOK = lambda x: f"regexp_extract_all(translate(lower(coalesce({x}, '')), '{T.FOLD_FROM.lower()}', '{T.FOLD_TO.lower()}'), '[\\p{{L}}\\p{{N}}\\p{{Co}}\\x{{0C00}}-\\x{{0C7F}}]+')"
+TOK = lambda x: f"regexp_extract_all(translate(lower(coalesce({x}, '')), '{T.FOLD_FROM}', '{T.FOLD_TO}'), '[\\p{{L}}\\p{{N}}\\p{{Co}}\\x{{0C00}}-\\x{{0C7F}}]+')"
 ASCII = lambda x: f"translate({x}, '{T.UPPER}', '{T.LOWER}')"
 
 
@@ -179,27 +180,27 @@ ARTICLE_FIELDS = ["title", "authors_json", "series", "body"]
 
 @registered(_rank_sql(["full_text"], PG, "p", "id", [(["పిల్లలు"], False), (["కిటికీ"], False)], "f0 > 0 and f1 > 0", 10))
 def page_search(s, d):
-    return _top(search.match(pages(s, d), ["full_text"], "పిల్లలు కిటికీ"), 10)
+    return _top(search.match(table(s, d, "pages"), ["full_text"], "పిల్లలు కిటికీ", ["id"]), 10)
 
 
 @registered(_rank_sql(ARTICLE_FIELDS, AR, "a", "id", [(["వెన్నెల"], False), (["ముచ్చట్లు"], False)], "f0 > 0 and f1 > 0", 20))
 def article_search_exact(s, d):
-    return _top(search.match(articles(s, d), ARTICLE_FIELDS, search.shape_article("వెన్నెల ముచ్చట్లు")), 20)
+    return _top(search.match(table(s, d, "articles"), ARTICLE_FIELDS, search.shape_article("వెన్నెల ముచ్చట్లు"), ["id"]), 20)
 
 
 @registered(_rank_sql(["body"], AR, "a", "id", [(["మా", "తాత"], False)], "f0 > 0", None))
 def phrase_search(s, d):
-    return _top(search.match(articles(s, d), ["body"], '"మా తాత"'))
+    return _top(search.match(table(s, d, "articles"), ["body"], '"మా తాత"', ["id"]))
 
 
 @registered(_rank_sql(["text"], CE, "c", "id", [(["వెన్"], True)], "f0 > 0", 30))
 def catalog_prefix_search(s, d):
-    return _top(search.match(entries(s, d), ["text"], search.shape_catalog("వెన్")), 30)
+    return _top(search.match(table(s, d, "catalog_entries"), ["text"], search.shape_catalog("వెన్"), ["id"]), 30)
 
 
 @registered(_rank_sql(["body"], AR, "a", "id", [(["broken"], False), (["కిటికీ"], False), (["నీరు"], False)], "(f0 > 0 or f1 > 0) and not f2 > 0", None))
 def boolean_search(s, d):
-    return _top(search.match(articles(s, d), ["body"], "(broken OR కిటికీ) NOT నీరు"))
+    return _top(search.match(table(s, d, "articles"), ["body"], "(broken OR కిటికీ) NOT నీరు", ["id"]))
 
 
 @registered(
@@ -208,12 +209,12 @@ def boolean_search(s, d):
         select id, round(-((case when ln((n - k + 0.5) / (k + 0.5)) <= 0 then 0.000001 else ln((n - k + 0.5) / (k + 0.5)) end) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size / avgsize))), 6) as rank from g, st where f > 0"""
 )
 def substring_search(s, d):
-    return _top(search.substring_match(articles(s, d), "body", "తాతక"))
+    return _top(search.substring_match(table(s, d, "articles"), "body", "తాతక", ["id"]))
 
 
 @registered(f"with {CE} select id, 0.0::double as rank from c where {ASCII('text')} like '%no.%'")
 def catalog_fallback_search(s, d):
-    return _top(search.match_or_like(entries(s, d), ["text"], search.shape_catalog("No."), ["text"]))
+    return _top(search.match_or_like(table(s, d, "catalog_entries"), ["text"], search.shape_catalog("No."), ["text"], ["id"]))
 
 
 @registered(f"with {AR}, t as (select id, unnest({TOK('title')}) as term from a) select term, count(distinct id) as documents, count(*) as occurrences from t group by term")
@@ -222,12 +223,94 @@ def title_index(s, d):
     return index.groupBy("term").agg(F.count("*").alias("documents"), F.sum(F.size("positions")).alias("occurrences"))
 
 
-@registered()
+@registered(
+    f"""with r as ({_rank_sql(["body"], AR, "a", "id", [(["కిటికీ"], False)], "f0 > 0", 20)}), q as (select id, regexp_split_to_array(coalesce(body, ''), '[\\s\\x{{0B}}]+') as ws from (select distinct id, body from articles) join r using (id)),
+        h as (select *, list_transform(ws, lambda w: list_contains({TOK("w")}, 'కిటికీ')) as hs from q),
+        c as (select *, list_transform(range(1, len(ws) + 1), lambda i: case when hs[i] then len(list_filter(hs[greatest(0, i - 3) + 1:greatest(0, i - 3) + 20], lambda x: x)) else 0 end * 100000 - greatest(0, i - 3)) as scores from h),
+        w as (select *, cast(((100000 - list_max(scores) % 100000) % 100000) as int) + 1 as start from c)
+        select id, case when start > 1 then '...' else '' end || array_to_string(list_transform(range(start, least(start + 20, len(ws) + 1)), lambda i: case when hs[i] then '<b>' || ws[i] || '</b>' else ws[i] end), ' ')
+          || case when len(ws) >= start + 20 then '...' else '' end as snippet from w"""
+)
 def search_snippets(s, d):
-    found = search.match(articles(s, d), ["body"], "కిటికీ").orderBy("rank", "id").limit(20)
+    best = search.match(table(s, d, "articles"), ["body"], "కిటికీ", ["id"]).orderBy(F.round("rank", 6), "id").limit(20)
+    found = table(s, d, "articles").select("id", "body").join(F.broadcast(best.select("id")), "id").dropDuplicates(["id"])  # twenty ids
     return found.select("id", search.snippet(F.col("body"), ["కిటికీ"], 20).alias("snippet"))
 
 
+def _near_starts(words: list[str], t: str = "t0") -> str:
+    test = " and ".join(f"{t}[i + {j}] = '{w}'" for j, w in enumerate(words))
+    return f"list_filter(range(1, len({t}) + 1), lambda i: coalesce({test}, false))"
+
+
+@registered(
+    f"""with {AR}, t as (select id, {TOK("body")} as t0 from a), p as (select id, len(t0) as size, {_near_starts(["మా", "తాత"])} as x, {_near_starts(["కిటికీ"])} as y from t),
+        m as (select *, list_filter(list_distinct(list_concat(x, y)), lambda l: len(list_filter(x, lambda k: k <= l and k >= l - 2 - 30)) > 0 and len(list_filter(y, lambda k: k <= l and k >= l - 1 - 30)) > 0) as last from p),
+        g as (select id, size, len(x) as h0, len(y) as h1, len(list_filter(x, lambda k: len(list_filter(last, lambda l: k <= l and k >= l - 2 - 30)) > 0)) as f0, len(list_filter(y, lambda k: len(list_filter(last, lambda l: k <= l and k >= l - 1 - 30)) > 0)) as f1 from m),
+        st as (select count(*) as n, avg(size) as avgsize, sum((h0 > 0)::int) as n0, sum((h1 > 0)::int) as n1 from g)
+        select id, round(-({" + ".join(f"(case when ln((n - n{k} + 0.5) / (n{k} + 0.5)) <= 0 then 0.000001 else ln((n - n{k} + 0.5) / (n{k} + 0.5)) end) * f{k} * 2.2 / (f{k} + 1.2 * (0.25 + 0.75 * size / avgsize))" for k in range(2))}), 6) as rank from g, st where f0 > 0 and f1 > 0"""
+)
+def near_search(s, d):
+    return _top(search.match(table(s, d, "articles"), ["body"], 'NEAR("మా తాత" కిటికీ, 30)', ["id"]))
+
+
+@registered(
+    f"""with {AR}, t as (select id, {TOK("title")} as t0, {TOK("body")} as t1 from a), g as (select id, len(t0) + len(t1) as size, len(list_filter(t0, lambda x: starts_with(x, 'వె'))) as f0, case when t1[1] = 'మా' then 1 else 0 end as f1 from t),
+        st as (select count(*) as n, avg(size) as avgsize, sum((f0 > 0)::int) as n0, sum((f1 > 0)::int) as n1 from g)
+        select id, round(-({" + ".join(f"(case when ln((n - n{k} + 0.5) / (n{k} + 0.5)) <= 0 then 0.000001 else ln((n - n{k} + 0.5) / (n{k} + 0.5)) end) * f{k} * 2.2 / (f{k} + 1.2 * (0.25 + 0.75 * size / avgsize))" for k in range(2))}), 6) as rank from g, st where f0 > 0 or f1 > 0"""
+)
+def column_search(s, d):
+    return _top(search.match(table(s, d, "articles"), ["title", "body"], "title : వె* OR - title : ^మా", ["id"]))
+
+
+@registered(_rank_sql(ARTICLE_FIELDS, AR, "a", "id", [(["వెన్నెల"], False), (["మా", "తాత"], False), (["కిటి"], True)], "f0 > 0 and (f1 > 0 or f2 > 0)", None))
+def indexed_search(s, d):
+    """The articles' postings, stored once in order of terms, and a search that reads those of its terms only."""
+    path = f"{checkpoint_dir(s)}/articles-index-{uuid.uuid4().hex}"
+    search.store_index(articles(s, d), "id", ARTICLE_FIELDS, path)
+    return search.match_index(s, path, 'వెన్నెల AND ("మా తాత" OR కిటి*)').select(F.col("doc").alias("id"), F.round("rank", 6).alias("rank"))
+
+
+@registered(
+    f"""with {AR}, g as (select id, greatest(length(coalesce(body, '')) - 2, 0) as size, {", ".join(f"len(list_filter(range(1, greatest(length(coalesce(body, '')) - {len(w) - 2}, 1)), lambda i: substr(lower(body), i, {len(w)}) = '{w}')) as f{k}" for k, w in enumerate(("తాతక", "కిటికీ లో", "నీరు")))} from a),
+        st as (select count(*) as n, avg(size) as avgsize, {", ".join(f"sum((f{k} > 0)::int) as n{k}" for k in range(3))} from g)
+        select id, round(-({" + ".join(f"(case when ln((n - n{k} + 0.5) / (n{k} + 0.5)) <= 0 then 0.000001 else ln((n - n{k} + 0.5) / (n{k} + 0.5)) end) * f{k} * 2.2 / (f{k} + 1.2 * (0.25 + 0.75 * size / avgsize))" for k in range(3))}), 6) as rank from g, st where (f0 > 0 or f1 > 0) and not f2 > 0"""
+)
+def substring_boolean_search(s, d):
+    return _top(search.substring_match(table(s, d, "articles"), "body", '(తాతక OR "కిటికీ లో" OR మా) NOT నీరు', ["id"]))
+
+
+@registered(f"with {AR} select id, 0.0::double as rank from a where {ASCII('body')} like '%no.%' or {ASCII('title')} like '%no.%'")
+def body_fallback_search(s, d):
+    return _top(search.substring_or_like(table(s, d, "articles"), "body", "No.", ["body", "title"], ["id"]))
+
+
+@registered(
+    f"""with {ED}, r as ({_rank_sql(["full_text"], PG, "p", "id", [(["కిటికీ"], False)], "f0 > 0", 10)})
+        select r.id, e.title as edition_title, e.publish_year, x.page_number, r.rank from r join (select distinct id, edition_id, page_number from pages) x using (id) join e on e.id = x.edition_id"""
+)
+def page_hits(s, d):
+    return Archive.open(s, d).search("కిటికీ").select("id", "edition_title", "publish_year", "page_number", F.round("rank", 6).alias("rank"))
+
+
+@registered(
+    f"""with {ED}, {AR}, r as ({_rank_sql(ARTICLE_FIELDS, AR, "a", "id", [(["వెన్నెల"], False), (["ముచ్చట్లు"], False)], "f0 > 0 and f1 > 0", None)})
+        select r.id, a.title, e.title as edition_title, a.start_page, r.rank from r join a using (id) join e on e.id = a.edition_id
+        where e.publish_year between 1990 and 2015 and {ASCII("a.authors_json")} like '%రావు%' order by r.rank, r.id limit 20"""
+)
+def article_hits(s, d):
+    found = Archive.open(s, d).search_articles("వెన్నెల ముచ్చట్లు", author="రావు", exact=True, first=1990, last=2015)
+    return found.select("id", "title", "edition_title", "start_page", F.round("rank", 6).alias("rank"))
+
+
+@registered(
+    f"""with {ED}, {AR}, {CE}, r as ({_rank_sql(["text"], CE, "c", "id", [(["వెన్"], True)], "f0 > 0", None)})
+        select r.id, c.kind, c.text, e.title as edition_title, a.title as article_title, r.rank from r join c using (id) join e on e.id = c.edition_id left join a on a.id = c.article_id and a.edition_id = c.edition_id
+        where c.kind = 'series' order by r.rank, r.id limit 30"""
+)
+def catalog_hits(s, d):
+    return Archive.open(s, d).search_catalog("వెన్", kind="series").select("id", "kind", "text", "edition_title", "article_title", F.round("rank", 6).alias("rank"))
+
+
 # Tables
 
 
@@ -331,23 +414,13 @@ def contents_pages(s, d):
     return segment.contents_pages(table(s, d, "pages"))
 
 
-@registered()
-def contents_entries(s, d):
-    return segment.parse_contents(table(s, d, "pages"))
-
-
-@registered()
-def article_bodies(s, d):
-    return segment.article_bodies(segment.page_blocks(table(s, d, "pages")), articles(s, d))
-
-
 @registered(
     f"""with {PG} select id, try_cast(translate(regexp_extract(full_text, 'సంపుటి\\s*(\\p{{Nd}}+)', 1), '౦౧౨౩౪౫౬౭౮౯', '0123456789') as int) as volume,
-        try_cast(translate(regexp_extract(full_text, 'సంచిక\\s*(\\p{{Nd}}+)', 1), '౦౧౨౩౪౫౬౭౮౯', '0123456789') as int) as issue from p where contains(full_text, 'సంపుటి')"""
+        try_cast(translate(regexp_extract(full_text, 'సంచిక\\s*(\\p{{Nd}}+)', 1), '౦౧౨౩౪౫౬౭౮౯', '0123456789') as int) as issue from p where contains(full_text, 'సంపుటి') or contains(full_text, 'సంచిక')"""
 )
 def volumes_and_issues(s, d):
     volume, issue = T.volume_issue(F.col("full_text"))
-    return pages(s, d).where(F.col("full_text").contains("సంపుటి")).select("id", volume.alias("volume"), issue.alias("issue"))
+    return pages(s, d).where(F.col("full_text").contains("సంపుటి") | F.col("full_text").contains("సంచిక")).select("id", volume.alias("volume"), issue.alias("issue"))
 
 
 @registered(
@@ -367,7 +440,7 @@ def series_in_catalog(s, d):
         and not regexp_matches(name, '^\\p{{Nd}}+$') and name not in ('వినోదం', 'విజ్ఞానం', 'భావం')"""
 )
 def trailing_authors(s, d):
-    return segment.trailing_authors(pages(s, d), F.col("full_text")).withColumn("confidence", F.col("confidence").cast("double"))
+    return segment.trailing_authors(table(s, d, "pages"), F.col("full_text")).withColumn("confidence", F.col("confidence").cast("double"))
 
 
 @registered(
@@ -413,9 +486,18 @@ def leftover_samples(s, d):
     return quality.leftover_samples(table(s, d, "pages"))
 
 
-@registered()
+def _glyph_flags(body: str) -> str:
+    """SQL: the names of the flags of a body, one behind the other."""
+    split = " + ".join(f"len(regexp_extract_all({body}, '{x}'))" for x in (T.CONSONANT + T.FREE_VOWEL, rf"{T.CONSONANT}[\s\x{{0B}}]+{T.SIGN}", rf"{T.CONSONANT}[\s\x{{0B}}]+్{T.CONSONANT}"))
+    return f"(case when len(regexp_extract_all({body}, '{T.LATIN_LEFT}')) > 5 then 'unmapped_glyph,' else '' end || case when {split} > 2 then 'glyph_split_matra,' else '' end)"
+
+
+@registered(
+    f"""with {AR}, f as (select id, {_glyph_flags("coalesce(body, '')")} || case when {STRIP("coalesce(body, '')")} = '' then 'empty_body,' else '' end as f from a)
+        select id, f || case when f <> '' then 'needs_review' else '' end as flags from f"""
+)
 def article_flags(s, d):
-    return quality.article_flags(articles(s, d))
+    return quality.article_flags(table(s, d, "articles")).select("id", F.array_join("flags", ",").alias("flags"))
 
 
 @registered(

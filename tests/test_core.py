@@ -7,12 +7,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from punji import catalogue
+from punji import batch, catalogue
 from punji.archive import Archive
-from punji.functions import decode, text
+from punji.functions import decode, geometry, text
 from punji.functions.edit import levenshtein
 from punji.functions.translit import reduced_key
-from punji.operators import components, quality, search, segment, tables
+from punji.operators import articles, catalog, components, quality, search, segment, tables
 from punji.sources import archive_io
 from punji.streaming.ingest import ingest_extracts
 
@@ -171,3 +171,138 @@ def test_query_against_sql(spark, name):
     tidy = lambda v: round(v, 6) if isinstance(v, float) else v
     want = sorted(repr([tidy(dict(zip(columns, r, strict=True))[c]) for c in sorted(columns)]) for r in result.fetchall())
     assert sorted(repr([tidy(r[c]) for c in sorted(columns)]) for r in rows) == want
+
+
+def test_wider_grammar(spark):
+    docs = spark.createDataFrame([(1, "red fox", "a b c d e"), (2, "blue", "red a x y z b"), (3, "red", None), (1, "red fox", "a b c d e")], "id int, title string, body string")
+    hit = lambda q: sorted(r["id"] for r in search.match(docs, ["title", "body"], q, ["id"]).collect())
+    assert hit("NEAR(a b, 0)") == [1] and hit("NEAR(a b, 3)") == [1, 2] and hit("NEAR(b a)") == [1, 2] and hit("NEAR(a b fox)") == []
+    assert hit("title : red") == [1, 3] and hit("- title : red") == [2] and hit("{title body} : (red AND a)") == [1, 2] and hit("^red") == [1, 2, 3] and hit("^fox") == []
+    assert hit("red + fox") == [1] and hit("title : ^re*") == [1, 3]
+    for bad in ("nowhere : red", "NEAR(a,b)", "{title : a", "^", "a +"):
+        with pytest.raises(search.QuerySyntaxError):
+            search.match(docs, ["title", "body"], bad, ["id"])
+    part = lambda q: sorted(r["id"] for r in search.substring_match(docs, "body", q, ["id"]).collect())
+    assert part('"a b" NOT zz') == [1] and part('"b c" OR "y z"') == [1, 2] and part("ab") == [] and part('"a x" AND q') == [2]
+
+
+def test_stored_index_answers_like_the_scan(spark, tmp_path):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * k % 7}" for k in range(1, 9)), f"t{i % 3} w1") for i in range(40)] + [(99, None, None)], "id int, body string, title string")
+    search.store_index(docs, "id", ["title", "body"], str(tmp_path / "index"))
+    for query in ("w1", "w1 w2", '"w1 w2"', "w1 NOT w3", "t* AND w4", "NEAR(w1 w5, 2)", "title : w1", "^w3", "nothing"):
+        want = {r["id"]: round(r["rank"], 9) for r in search.match(docs, ["title", "body"], query, ["id"]).collect()}
+        found = search.match_index(spark, str(tmp_path / "index"), query)
+        assert {r["doc"]: round(r["rank"], 9) for r in found.collect()} == want, query
+    plan = search.match_index(spark, str(tmp_path / "index"), "w1 t*")._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(" in plan and "In(term, [w1])" in plan.replace("EqualTo(term,w1)", "In(term, [w1])")
+
+
+def test_texts_are_not_shuffled_to_drop_repeats(spark):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    for df in (search.match(pages, ["full_text"], "x", ["id"]), quality.page_quality(pages), segment.contents_pages(pages)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.rindex("Relation")]  # the last projection over the scan ends with the texts
+        assert "full_text" not in above.rsplit("Aggregate", 1)[0].split("Project", 1)[0] and "first(full_text" not in plan
+
+
+def test_sizes_and_boxes(spark):
+    one = spark.range(1)
+    names = [one.select(geometry.paper_name(F.lit(w), F.lit(h))).head()[0] for w, h in ((612.0, 792.0), (842.0, 595.0), (100.0, 100.0))]
+    assert names == ["Letter", "A4", "Custom"]
+    unit = one.select(geometry.in_units(w=F.lit(72.0))).head()[0]
+    assert (unit["w_pt"], unit["w_in"], unit["w_mm"]) == (72.0, 1.0, 25.4)
+    box = [F.lit(float(x)) for x in (0, 0, 10, 10)]
+    assert [one.select(geometry.boxes_differ(box, [*box[:3], F.lit(y)])).head()[0] for y in (10.4, 10.6)] == [False, True]
+    assert [one.select(geometry.design_page(F.lit(p), n, c)).head()[0] for p, n, c in ((1, 3, True), (2, 3, True), (3, 3, False), (2, 2, False), (2, 1, False))] == [0, 2, 1, 1, 0]
+    place = one.select(geometry.placed(F.lit(500.0), F.lit(700.0), None, F.lit(200.0))).head()[0]
+    assert (place["x0"], place["y0"], place["x1"], place["y1"]) == (56.0, 92.0, 556.0, 792.0)
+    with pytest.raises(ValueError):
+        geometry.design_page(F.lit(1), 2, True)
+
+
+def test_layout_gap_both_ends(spark):
+    rows = [("p", "e", 1, 10.0, 20.0, "x")] * 12 + [("q", "e", 2, 10.0, 20.0, "x")] * 11 + [("q", "e", 2, 300.0, 400.0, "x")]
+    df = spark.createDataFrame(rows, "page_id string, edition_id string, page_number int, y0 double, y1 double, text string")
+    assert {r["page_id"]: r["gap"] for r in quality.page_layout(df).collect()} == {"p": True, "q": False}
+
+
+def test_authors_of_an_article(spark):
+    body = "one\n- కమల రావు\ntwo\nthree\n– శ్రీ రాజు – సీత."
+    row = spark.createDataFrame([(body, "Tale ...శ్రీమతి లలిత", [("paragraph", 400.0, "కమల రావు\nx"), ("paragraph", 10.0, "left")])], "body string, title string, blocks array<struct<type:string,x0:double,text:string>>")
+    found = row.select(articles.merged_authors(articles.byline_authors(F.col("blocks")), articles.dash_authors(F.col("body")), articles.title_authors(F.col("title"))).alias("a")).head()["a"]
+    assert [(a["name"], a["source"], a["confidence"]) for a in found] == [("కమల రావు", "trailing_dash", 0.85), ("సీత", "trailing_dash", 0.8), ("శ్రీమతి లలిత", "toc_title", 0.7)]
+    none = row.select(articles.author_confidence(articles.merged_authors(articles.dash_authors(F.lit(None).cast("string")))).alias("c")).head()["c"]
+    assert none == 1.0
+
+
+def test_titles_and_fonts(spark):
+    assert value(spark, text.glyph_font(F.col("x")), "ABC+Anupama-Bold") and not value(spark, text.glyph_font(F.col("x")), None)
+    assert value(spark, text.detect_series(F.col("x")), "రంగుల లోకం (సీరియల్)") == "రంగుల లోకం" and value(spark, text.detect_series(F.col("x")), "plain") is None
+    mismatch = lambda a, b: spark.range(1).select(quality.title_mismatch(F.lit(a), F.lit(b))).head()[0]
+    assert mismatch("First title", "Other words") and not mismatch("First title", "First title again") and not mismatch("", "x")
+    assert value(spark, segment.without_leading_noise(F.col("x")), "సంపుటి 4\nసంచిక 2\nReal text\nmore") == "Real text\nmore"
+    assert value(spark, text.html_bold(F.col("x")), "<b>a</b> & <i>") == "<b>a</b> &amp; &lt;i&gt;"
+    assert value(spark, text.trigrams(F.col("x")), "AbcD") == ["abc", "bcd"] and value(spark, text.trigrams(F.col("x")), "ab") == []
+    start, end = segment.clamp_pages(F.lit(0), F.lit(99), F.lit(12))
+    assert tuple(spark.range(1).select(start, end).head()) == (1, 12)
+
+
+def _extract(path, pages, pdf):
+    blocks = lambda texts: [{"block_no": i, "bbox": [60.0, 150.0 + 20 * i, 540.0, 165.0 + 20 * i], "type": kind, "text": t, "alignment": al, "reading_order": i} for i, (kind, t, al) in enumerate(texts)]
+    document = {"metadata": {}, "pdf_path": pdf, "total_pages": len(pages), "pages": [{"page_number": n + 1, "width": 600.0, "height": 842.0, "blocks": blocks(p), "images": []} for n, p in enumerate(pages)], "images": []}
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(document, f, ensure_ascii=False)
+
+
+def test_batch_job_and_search(spark, tmp_path, capsys):
+    contents = "విషయాలు\nపుట సంఖ్య\n1. వెన్నెల కథ ..... 3\n2. మన ఊరు ..... 4"
+    pages = [[("paragraph", "cover words", "left")], [("paragraph", contents, "left")], [("heading", "వెన్నెల కథ", "center"), ("right_subheading", "కమల రావు", "right"), ("paragraph", "పిల్లలు ఆడుకున్నారు ఇంకావుంది", "left")], [("paragraph", "ఊరి మాట", "left")], []]
+    _extract(str(tmp_path / "in" / "2002" / "01.json"), pages, "issues/2002/01.pdf")
+    _extract(str(tmp_path / "in" / "2002" / "02.json"), pages[:1], "issues/2002/02.pdf")
+    series = spark.createDataFrame([(1, "వెన్నెల")], "series_id int, series_name string")
+    aliases = spark.createDataFrame([("ఊరు", "మన ఊరి కథలు")], "alias string, series_name string")
+    out = str(tmp_path / "out")
+    first = {r["edition_id"]: r for r in batch.process_extracts(spark, str(tmp_path / "in"), out, series, aliases).collect()}
+    assert {k: (r["status"], r["articles"]) for k, r in first.items()} == {"2002-01": ("ok", 3), "2002-02": ("ok", 1)}
+    built = {r["article_id"]: r for r in spark.read.parquet(f"{out}/articles").where("edition_id = '2002-01'").collect()}
+    assert set(built) == {"00_front_matter", "01_వెన్నెల_కథ", "02_మన_ఊరు"}
+    story = built["01_వెన్నెల_కథ"]
+    assert (story["start_page"], story["end_page"], story["authors"], story["continuation_of"]) == (3, 3, ["కమల రావు"], "continued_marker")
+    assert built["02_మన_ఊరు"]["series"] == "మన ఊరి కథలు" and "విషయాలు" in built["00_front_matter"]["body"]
+    kinds = [(r["kind"], r["text"], r["source"]) for r in spark.read.parquet(f"{out}/catalog_entries").where("edition_id = '2002-01'").orderBy("entry_id").collect()]
+    assert kinds[:3] == [("heading", "వెన్నెల కథ", "toc"), ("author", "కమల రావు", "autotag"), ("series", "వెన్నెల", "layout_match")]
+    again = batch.process_extracts(spark, str(tmp_path / "in"), out, series, aliases)
+    assert {r["status"] for r in again.collect()} == {"skipped"} and spark.read.parquet(f"{out}/articles").count() == 4
+    for words, expected in ((["కథ", "--mode", "both"], 0), (["వెన్నెల"], 1), (["--author", "రావు"], 0)):
+        assert batch.main(["search", DATA, *words, "-l", "5"]) == 0
+        assert len(capsys.readouterr().out.splitlines()) >= expected
+
+
+def test_archive_folder_without_catalogue(spark, tmp_path):
+    for edition in ("2001-01", "2001-02"):
+        os.makedirs(tmp_path / edition / "articles")
+        with open(tmp_path / edition / "articles" / "01.json", "w") as f:
+            json.dump({"id": "01_a", "title": "Boats", "start_page": 1, "end_page": 2, "authors": ["Mina"], "kind": "article"}, f)
+    with open(tmp_path / "2001-01" / "catalog.json", "w") as f:
+        json.dump({"entries": [{"id": "x", "edition_id": "2001-01", "kind": "heading", "text": "Kept"}]}, f)
+    _extract(str(tmp_path / "2001-02" / "raw_extract.json"), [[("paragraph", "Paper Boats No. 4", "left")]], "x.pdf")
+    series = spark.createDataFrame([(1, "Paper Boats")], "series_id int, series_name string")
+    rows = {(r["edition_id"], r["kind"], r["text"]) for r in archive_io.archive_catalog(spark, str(tmp_path), series).collect()}
+    assert rows == {("2001-01", "heading", "Kept"), ("2001-02", "heading", "Boats"), ("2001-02", "author", "Mina"), ("2001-02", "series", "Paper Boats")}
+    found = {r["edition_id"] for r in archive_io.find_pdfs(spark, str(_touch(tmp_path / "pdfs", "2001/01.pdf", "flat.pdf"))).collect()}
+    assert found == {"2001-01"} and archive_io.find_pdfs(spark, str(tmp_path / "pdfs"), "1999").count() == 0
+
+
+def _touch(folder, *names):
+    for n in names:
+        os.makedirs(os.path.dirname(folder / n), exist_ok=True)
+        with open(folder / n, "w") as f:
+            f.write("%PDF")
+    return folder
+
+
+def test_repeated_keys_in_a_batch(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    batch_rows = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (3, "z")], "id int, v string")
+    assert sorted(tuple(r) for r in tables.upsert(base, batch_rows, ["id"], [F.col("v")]).collect()) == [(1, "y"), (2, "b"), (3, "z")]
