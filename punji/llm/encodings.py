@@ -24,6 +24,7 @@ CODECS = ("cp1252", "latin1", "cp1251", "cp437", "mac_roman", "cp850", "cp866",
 SETTLED = 1e-3  # rounds end where no share or rate of any pool moves by more
 STEP = 3  # rounds between two looks at that
 TOO_MANY = 8  # sequences left above the fewest, with which a chain's posterior is below 1e-12 whatever the pool
+VOID = 1e-7  # how likely a clean record holds a replacement character
 TASK_ROWS = 500_000  # chains of signatures that a task weighs at a time
 
 # Lost letters: a question mark that begins a word or stands between letters (emphatic ones follow a word).
@@ -108,11 +109,12 @@ def suspicious(column) -> F.Column:
     return F.regexp_replace(column, PLAIN, "").rlike(head_pattern()) | (column.contains("?") & column.rlike(_LOST_JVM))
 
 
-def evidence(text: str) -> list[tuple[str, int, int, int]]:
-    """(chain, hits, left, lost) of the text as it is (an empty chain) and of every chain that undoes anything in it.
+def evidence(text: str) -> list[tuple[str, int, int, int, int]]:
+    """(chain, hits, left, lost, void) of the text as it is (an empty chain) and of every chain that undoes anything in it.
 
     ``hits``: sequences that the chain's codecs decode, ``left``: those that each codec leaves which a rival would have
-    decoded in its place, with the most that any could still decode behind the chain, ``lost``: letters lost for good.
+    decoded in its place, with the most that any could still decode behind the chain, ``lost``: question marks in the place of letters,
+    ``void``: replacement characters.
     Every undoing makes the text shorter, so chains end by themselves; of chains that lead to the same text the one
     that leaves least counts. Chains that leave TOO_MANY more than another are not listed, and nothing is for a text
     without any evidence.
@@ -131,9 +133,9 @@ def evidence(text: str) -> list[tuple[str, int, int, int]]:
             if after not in nodes or missed < nodes[after][2]:
                 todo.append(after)
                 nodes[after] = ((*chain, name), hits + n, missed)
-    out = [(">".join(c), hits, left + max(counted[at].values(), default=0), at.count("�") + marks) for at, (c, hits, left) in nodes.items()]
-    fewest = min(left for _, _, left, _ in out)
-    return [out[0], *(e for e in out[1:] if e[2] <= fewest + TOO_MANY)] if out[0][2] or out[0][3] else []
+    out = [(">".join(c), hits, left + max(counted[at].values(), default=0), marks, at.count("�")) for at, (c, hits, left) in nodes.items()]
+    fewest = min(e[2] for e in out)
+    return [out[0], *(e for e in out[1:] if e[2] <= fewest + TOO_MANY)] if any(out[0][2:]) else []
 
 
 def repair(text: str, chain: str) -> str:
@@ -143,20 +145,20 @@ def repair(text: str, chain: str) -> str:
     return text
 
 
-NODES = "array<struct<chain:string,hits:int,left:int,lost:int>>"
+NODES = "array<struct<chain:string,hits:int,left:int,lost:int,void:int>>"
 
 
 def _evidence_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        nodes = [[dict(zip(("chain", "hits", "left", "lost"), e, strict=True)) for e in evidence(t)] for t in pdf["text"]]
+        nodes = [[dict(zip(("chain", "hits", "left", "lost", "void"), e, strict=True)) for e in evidence(t)] for t in pdf["text"]]
         yield pdf[["field", "source", "id"]].assign(nodes=nodes)
 
 
 def _flat(rows: DataFrame, key: str) -> DataFrame:
     """``rows`` (field, source, nodes, ``key``, ...) with a row for each class: clean (no chain), lost, and every chain."""
     root = F.col("nodes")[0]
-    lost = F.struct(F.lit("lost").alias("chain"), F.lit(0).alias("hits"), root["left"].alias("left"), root["lost"].alias("lost"))
-    listed = F.explode(F.concat("nodes", F.when(root["lost"] > 0, F.array(lost)).otherwise(F.array().cast(NODES))))
+    lost = F.struct(F.lit("lost").alias("chain"), F.lit(0).alias("hits"), root["left"].alias("left"), root["lost"].alias("lost"), root["void"].alias("void"))
+    listed = F.explode(F.concat("nodes", F.when(root["lost"] + root["void"] > 0, F.array(lost)).otherwise(F.array().cast(NODES))))
     return rows.select(*(c for c in rows.columns if c != "nodes"), listed.alias("c")).select(*(c for c in rows.columns if c != "nodes"), "c.*").withColumnRenamed(key, "row")
 
 
@@ -164,16 +166,16 @@ def _posterior(rows: pd.DataFrame, pool: pd.DataFrame) -> np.ndarray:
     """The probability of each class of ``rows`` (row, chain, hits, left, lost), the classes of a row one behind the other.
 
     ``pool`` (chain, share, chance, slip, miss). A clean record shows a sequence by chance with probability ``chance`` and
-    a lost letter with ``slip``; a spoilt one leaves a sequence undecoded with probability ``miss``; a record of lost
+    a question mark for a letter with ``slip``, and hardly ever a replacement character; a spoilt one leaves a sequence undecoded with probability ``miss``; a record of lost
     letters loses one in two.
     """
     share = dict(zip(pool["chain"], pool["share"], strict=True))
     chance, slip, miss = (float(pool[c].iloc[0]) for c in ("chance", "slip", "miss"))
     chain = rows["chain"].to_numpy(dtype=object)
-    hits, left, lost = (rows[c].to_numpy(dtype=float) for c in ("hits", "left", "lost"))
-    like = hits * np.log(1 - miss) + left * np.log(miss * chance) + lost * np.log(max(slip, 0.05))
-    like = np.where(chain == "", left * np.log(chance) + lost * np.log(slip), like)
-    like = np.where(chain == "lost", left * np.log(chance) + lost * np.log(0.5), like)
+    hits, left, lost, void = (rows[c].to_numpy(dtype=float) for c in ("hits", "left", "lost", "void"))
+    like = hits * np.log(1 - miss) + left * np.log(miss * chance) + (lost + void) * np.log(max(slip, 0.05))
+    like = np.where(chain == "", left * np.log(chance) + lost * np.log(slip) + void * np.log(VOID), like)
+    like = np.where(chain == "lost", left * np.log(chance) + (lost + void) * np.log(0.5), like)
     like += np.log([share.get(c, 1e-6) for c in chain])
     first = np.flatnonzero(np.r_[True, rows["row"].to_numpy()[1:] != rows["row"].to_numpy()[:-1]])
     size = np.diff(np.r_[first, len(rows)])
@@ -260,7 +262,7 @@ def garbled(records: DataFrame) -> DataFrame:
     seen = cut(seen)
     spoken = seen.groupBy("field", "source").agg(F.count("*").alias("seen"))
     everything = rows.select("field", "source", "id").distinct().groupBy("field", "source").agg(F.count("*").alias("n"))
-    plain = F.array(F.struct(F.lit("").alias("chain"), *(F.lit(0).alias(c) for c in ("hits", "left", "lost")))).cast(NODES)
+    plain = F.array(F.struct(F.lit("").alias("chain"), *(F.lit(0).alias(c) for c in ("hits", "left", "lost", "void")))).cast(NODES)
     silent = everything.join(spoken, ["field", "source"], "left").select("field", "source", plain.alias("nodes"), (F.col("n") - F.coalesce("seen", F.lit(0))).alias("n"))
     kinds = seen.groupBy("field", "source", "nodes").agg(F.count("*").alias("n")).unionByName(silent).withColumn("kind", F.xxhash64("nodes"))
     pools = encoding_pools(cut(_flat(kinds, "kind")))
