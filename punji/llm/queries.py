@@ -92,7 +92,9 @@ def p6_patterns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return boilerplate.without_standing_lines(table(spark, sf, "pages"))
+    """Each page's text without standing lines, and the texts that its blocks keep, one below the other."""
+    clean = boilerplate.without_standing_lines(table(spark, sf, "pages"))
+    return clean.select("page_id", "full_text", F.array_join(F.transform(F.from_json("blocks_json", "array<struct<text:string>>"), lambda b: b["text"]), "\n").alias("block_texts"))
 
 
 def p7_packing(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,6 +163,42 @@ _P8_NEAR = f"""with exact as ({_P8}),
     near as (select x.doc_id, x.item_id from k x join k y on x.doc_id = y.doc_id and x.item_id = y.item_id and y.p between x.p and x.p + 29 group by x.doc_id, x.item_id, x.p having count(distinct y.w) = 12)
     select doc_id, item_id, 'exact' as kind from exact union all select doc_id, item_id, 'near' as kind from (select distinct doc_id, item_id from near) where (doc_id, item_id) not in (select (doc_id, item_id) from exact)"""
 
+_P5_CLASSES = """with recursive a as (select distinct id, coalesce(title, '') as title, body from articles where body is not null),
+    w as (select id, lower(title || ' ' || body) as t from a where len(list_filter(regexp_split_to_array(body, '[ \\t\\n\\r]+'), lambda x: x <> '')) >= 20),
+    u as (select t, min(id) as id from w group by t), v as (select id, list_filter(regexp_split_to_array(t, '[ \\t\\n\\r]+'), lambda x: x <> '') as ws from u),
+    s as (select id, unnest(list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) as g from v), n as (select id, count(*) as n from s group by id),
+    o as (select x.id as a, y.id as b, count(*) as c from s x join s y on x.g = y.g and x.id <> y.id group by x.id, y.id),
+    e as (select a, b from o join n p on p.id = a join n q on q.id = b where c >= 0.6 * (p.n + q.n - c)),
+    reach as (select a as x, a as y from e union select r.x, e.b from reach r join e on r.y = e.a), comp as (select x, min(y) as class_id from reach group by x), deg as (select a, count(*) as links from e group by a),
+    m as (select w.id, u.id as rep from w join u using (t))
+    select m.id, coalesce(class_id, m.rep) as class_id, coalesce(links, 0) as links from m left join comp on comp.x = m.rep left join deg on deg.a = m.rep
+    union all select id, id, 0 from (select distinct id from articles) where id not in (select id from w)"""
+
+_FREQUENT = f"""p as (select distinct id, split_part(edition_id, '-', 1) as pub, full_text, blocks_json from pages),
+    k as (select id, pub, line_no, trim(regexp_replace(regexp_replace(lower(x), '\\p{{Nd}}+', '0', 'g'), '{_WHITE}', ' ', 'g')) as x, x as line from
+      (select id, pub, generate_subscripts(string_split(full_text, chr(10)), 1) as line_no, unnest(string_split(full_text, chr(10))) as x from p where full_text is not null)),
+    t as (select pub, count(*) as total from p where full_text is not null group by pub),
+    f as (select pub, x, total from (select pub, x, count(distinct id) as n from k where x <> '' group by pub, x) join t using (pub) where n >= 3 and n >= 0.1 * total)"""
+
+_P6_PATTERNS = (
+    f"with {_FREQUENT}, s as (select k.id, k.pub, k.line_no, k.x, f.total from k join f using (pub, x)), "
+    + "g as ("
+    + " union all ".join(
+        f"select s1.pub, {' || chr(10) || '.join(f's{i}.x' for i in range(1, n + 1))} as pattern, {n} as length, count(distinct s1.id) as pages, any_value(s1.total) as total from s s1 "
+        + " ".join(f"join s s{i} on s{i}.id = s1.id and s{i}.line_no > s{i - 1}.line_no" for i in range(2, n + 1))
+        + " group by 1, 2"
+        for n in range(1, 6)
+    )
+    + ") select pub as source, pattern, length, pages from g where pages >= 3 and pages >= 0.1 * total"
+)
+
+_P6_CLEANED = f"""with {_FREQUENT}, g as (select k.id, string_agg(line, chr(10) order by line_no) as full_text from k left join f using (pub, x) where f.x is null group by k.id),
+    b as (select id, pub, i, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as n from
+      (select id, pub, i, bs[i].text as t from (select id, pub, bs, unnest(range(1, len(bs) + 1)) as i from (select id, pub, from_json(blocks_json, '[{{"text":"VARCHAR"}}]') as bs from p)))),
+    c as (select b.id, i, string_agg(line, chr(10) order by n) as t from (select *, trim(regexp_replace(regexp_replace(lower(line), '\\p{{Nd}}+', '0', 'g'), '{_WHITE}', ' ', 'g')) as x from b) b left join f using (pub, x) where f.x is null group by b.id, i),
+    d as (select id, string_agg(t, chr(10) order by i) as block_texts from c where t <> '' group by id)
+    select p.id as page_id, case when p.full_text is not null then coalesce(g.full_text, '') end as full_text, case when p.blocks_json is not null then coalesce(d.block_texts, '') end as block_texts from p left join g on g.id = p.id left join d on d.id = p.id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p8_near": _P8_NEAR, "p5_found": _P5, "p6_found": _P6, "p8_found": _P8}
+    return {"p5_classes": _P5_CLASSES, "p6_patterns": _P6_PATTERNS, "p6_cleaned": _P6_CLEANED, "p8_near": _P8_NEAR, "p5_found": _P5, "p6_found": _P6, "p8_found": _P8}
