@@ -36,6 +36,31 @@ def load_rules(rules: DataFrame) -> list[Rule]:
     return sorted(first.values(), key=lambda r: (-len(r.glyphs), r.glyphs))
 
 
+def rules_from_letters(letters: DataFrame) -> DataFrame:
+    """(glyphs, text, role) from a table made for writing (text, glyphs, kind, position): which letters a glyph string reads as.
+
+    ``kind`` is base, tail or sign, ``position`` the order of the table's rows. Digits are left out, base entries that
+    begin with a vowel sign are signs. Where several letters are written alike the last counts, but letters of the two
+    rare affricates only where no other is written so; of those the first.
+    """
+    # Telugu digits, vowel signs and the two rare affricates.
+    known = letters.where("glyphs <> '' and text <> ''").where(~F.col("text").rlike("^[౦-౯]"))
+    role = F.when((F.col("kind") == "base") & F.col("text").rlike("^[ా-ౌ]"), "sign").otherwise(F.col("kind"))
+    entry = F.struct("text", role.alias("role"))
+    rare = F.col("text").rlike("[ౘౙ]")
+    chosen = F.coalesce(F.max_by(entry, F.when(~rare, F.col("position"))), F.min_by(entry, F.col("position")))
+    return known.groupBy("glyphs").agg(chosen.alias("c")).select("glyphs", "c.text", "c.role")
+
+
+def reorder_signs(c: Column) -> Column:
+    """Signs that are drawn before their letters put behind the whole cluster, and joined consonants before vowel signs."""
+    # The three glyphs left from decoding that stand before a cluster, and what they read as.
+    cluster = r"([క-హౘ-ౚౠ-ౡ](?:్[క-హౘ-ౚౠ-ౡ])*[ా-ౄె-ౌౕౖఁ-ః]*)"
+    for glyph, sign in (("¿", "ే"), ("Ã", "ె"), ("„", "్ర")):
+        c = F.regexp_replace(c, glyph + cluster, "$1" + sign)
+    return F.regexp_replace(c, r"([క-హౘ-ౚ])([ా-ౄె-ౌౕౖ])్([క-హౘ-ౚ])", "$1్$3$2")
+
+
 class Decoder:
     """Decodes by syllables: what is drawn before a letter waits for it, signs and tails are put in spoken order."""
 

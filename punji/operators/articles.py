@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from punji.functions.text import clean_author, detect_series, plausible_author, slug, strip_space
 from punji.operators import quality, segment
+from punji.runtime import short_list
 
 CONTINUED = "ఇంకావుంది"  # Fixed value: the note under a part of a serial
 _AUTHOR = "array<struct<name:string,source:string,confidence:double>>"
@@ -71,7 +72,7 @@ def author_confidence(authors: Column) -> Column:
 def normal_series(rows: DataFrame, aliases: DataFrame, title: str = "title", hint: str = "series") -> DataFrame:
     """``rows`` with ``series``: the name of the first alias (alias, series_name; a list written by hand) that the hint,
     or without one the title, contains; else the hint."""
-    listed = aliases.where("alias <> ''").agg(F.array_sort(F.collect_list(F.struct("alias", "series_name"))).alias("__aliases"))  # one row
+    listed = short_list(aliases.where("alias <> ''")).agg(F.array_sort(F.collect_list(F.struct("alias", "series_name"))).alias("__aliases"))  # one row
     raw = F.coalesce(F.nullif(F.col(hint), F.lit("")), F.col(title), F.lit(""))
     named = F.get(F.filter("__aliases", lambda a: raw.contains(a["alias"])), F.lit(0))["series_name"]
     return rows.join(F.broadcast(listed)).withColumn("series", F.coalesce(named, F.col(hint))).drop("__aliases")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punji.functions.text import clean_author, plausible_author, repair_telugu, strip_space, toc_score
+from punji.runtime import short_list
 
 BLOCKS = "array<struct<block_no:int,bbox:array<double>,type:string,text:string,alignment:string,reading_order:int>>"
 PAGE_WIDTH = 600.0
@@ -180,7 +181,7 @@ def series_in_text(texts: DataFrame, series: DataFrame) -> DataFrame:
     ``series`` is a list written by hand (series_name, series_id); ties of length go to the smaller id.
     """
     # Expressions over a small array of names, so no row is multiplied by the list.
-    names = series.where("series_name <> ''").agg(F.array_sort(F.collect_list(F.struct((-F.length("series_name")).alias("l"), "series_id", "series_name"))).alias("names"))
+    names = short_list(series.where("series_name <> ''")).agg(F.array_sort(F.collect_list(F.struct((-F.length("series_name")).alias("l"), "series_id", "series_name"))).alias("names"))
     held = texts.join(F.broadcast(names)).withColumn("hit", F.get(F.filter("names", lambda n: F.col("text").contains(n["series_name"])), F.lit(0))).where("hit is not null")
     rest = strip_space(F.replace(F.col("text"), F.col("hit.series_name"), F.lit("")))
     number = F.coalesce(F.nullif(F.regexp_extract("text", r"(?:సంచిక|సంఖ్య|no\.?|#)\s*(\d+)", 1), F.lit("")), F.nullif(F.regexp_extract(rest, r"(\d+)\s*$", 1), F.lit("")))

@@ -52,3 +52,10 @@ def once(df: DataFrame, *keys: str) -> DataFrame:
 def clean_text(column) -> F.Column:
     """Null as the empty text."""
     return F.coalesce(column, F.lit(""))
+
+
+def short_list(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """``df``, a list written by hand, checked to have at most ``most`` rows, so that it may be sent to every executor."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a list of more than {most} rows isn't sent to every executor")
+    return df

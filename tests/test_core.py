@@ -306,3 +306,26 @@ def test_repeated_keys_in_a_batch(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     batch_rows = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (3, "z")], "id int, v string")
     assert sorted(tuple(r) for r in tables.upsert(base, batch_rows, ["id"], [F.col("v")]).collect()) == [(1, "y"), (2, "b"), (3, "z")]
+
+
+def test_rules_from_letters_and_reordering(spark):
+    letters = spark.createDataFrame(
+        [("చ", "a", "base", 1), ("ౘ", "a", "base", 2), ("ౙ", "b", "base", 3), ("ౘ", "b", "base", 4), ("ి", "i", "base", 5), ("౧", "1", "base", 6), ("క", "k", "base", 7), ("గ", "k", "tail", 8), ("", "x", "base", 9), ("ఖ", None, "base", 10)],
+        "text string, glyphs string, kind string, position int",
+    )
+    assert {r["glyphs"]: (r["text"], r["role"]) for r in decode.rules_from_letters(letters).collect()} == {"a": ("చ", "base"), "b": ("ౙ", "base"), "i": ("ి", "sign"), "k": ("గ", "tail")}
+    for given, expected in (("¿కమల", "కేమల"), ("Ãస్త", "స్తె"), ("„క", "క్ర"), ("కి్త", "క్తి"), ("plain", "plain"), (None, None)):
+        assert value(spark, decode.reorder_signs(F.col("x")), given) == expected
+
+
+def test_images_of_articles_and_sizes(spark):
+    spans = spark.createDataFrame([("e", "a", 1, 2), ("e", "b", 3, 3), ("e", "c", 9, 9)], "edition_id string, article_id string, start_page int, end_page int")
+    images = spark.createDataFrame([("e", 1, "x.png")], "edition_id string, page_number int, path string")
+    beside = spark.createDataFrame([("e", 2, "y.png"), ("e", 3, "z.png")], "edition_id string, page_number int, path string")
+    assert sorted((r["article_id"], r["path"]) for r in articles.article_images(images, spans, beside).collect()) == [("a", "x.png"), ("b", "z.png")]
+    pages = spark.createDataFrame([(612.0, 792.0)] * 3 + [(595.281, 841.892), (None, 1.0)], "width double, height double")
+    assert sorted((r["name"], r["pages"]) for r in geometry.size_variants(pages).collect()) == [("A4", 1), ("Letter", 3)]
+    from punji.runtime import short_list
+
+    with pytest.raises(ValueError):
+        short_list(pages, 3)
