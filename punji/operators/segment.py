@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punji.functions.text import clean_author, plausible_author, repair_telugu, strip_space, toc_score
-from punji.runtime import short_list
+from punji.runtime import once, short_list
 
 BLOCKS = "array<struct<block_no:int,bbox:array<double>,type:string,text:string,alignment:string,reading_order:int>>"
 PAGE_WIDTH = 600.0
@@ -18,7 +18,7 @@ PAGE_WIDTH = 600.0
 
 def page_blocks(pages: DataFrame) -> DataFrame:
     """One row a block of ``pages`` (id, edition_id, page_number, blocks_json): its place and fields; each page once."""
-    parsed = pages.dropDuplicates(["id"]).select("id", "edition_id", "page_number", F.posexplode(F.from_json("blocks_json", BLOCKS)).alias("at", "b"))
+    parsed = once(pages, "id").select("id", "edition_id", "page_number", F.posexplode(F.from_json("blocks_json", BLOCKS)).alias("at", "b"))
     return parsed.select(
         F.col("id").alias("page_id"), "edition_id", "page_number", "at", "b.block_no", "b.type", "b.text", "b.alignment",
         *(F.get("b.bbox", i).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))),

@@ -44,9 +44,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+REPEATED_ROWS = 1_000_000  # keys that may be sent to every executor
+
+
 def once(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key; rows delivered twice are alike, so which one stays doesn't matter."""
-    return df.dropDuplicates(list(keys))
+    """One row per key of ``df``, a table as it is read; rows delivered twice are alike, so which one stays doesn't matter.
+
+    Few rows come twice: only those are shuffled, the others, with their texts, stay where they are. The repeated keys
+    are counted first, from their columns alone; beyond REPEATED_ROWS of them all rows are shuffled.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*(F.col(k).alias(f"__{k}") for k in keys))
+    many = repeated.limit(REPEATED_ROWS + 1).count()
+    if not many:
+        return df
+    if many > REPEATED_ROWS:
+        return df.dropDuplicates(list(keys))
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(F.col(f"__{k}"))
+    sent = F.broadcast(repeated)
+    return df.join(sent, same, "left_anti").unionByName(df.join(sent, same, "left_semi").dropDuplicates(list(keys)))
 
 
 def clean_text(column) -> F.Column:

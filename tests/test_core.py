@@ -329,3 +329,14 @@ def test_images_of_articles_and_sizes(spark):
 
     with pytest.raises(ValueError):
         short_list(pages, 3)
+
+
+def test_rows_delivered_twice_count_once(spark):
+    from punji.runtime import once
+
+    rows = [(1, "a"), (2, "b"), (1, "a"), (None, "c"), (None, "c"), (3, "d")]
+    df = spark.createDataFrame(rows, "id int, n string")
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted((tuple(r) for r in once(df, "id").collect()), key=key) == sorted(set(rows), key=key)
+    assert once(df.where("id = 3"), "id").count() == 1 and once(df.limit(0), "id").count() == 0
+    assert once(df, "id", "n").count() == 4
