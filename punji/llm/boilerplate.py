@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punji.runtime import cut
+from punji.runtime import cut, once
 
 SHARE, LEAST = 0.10, 3  # of the source's pages, and pages at least
 BROADCAST_ROWS = 100_000  # frequent lines that may be sent to every executor
@@ -117,7 +117,7 @@ def without_standing_lines(pages: DataFrame) -> DataFrame:
         good = F.filter(F.split(text, "\n", -1), lambda x: ~F.coalesce(F.array_contains("bad", F.xxhash64(normal_line(x))), F.lit(False)))
         return F.array_join(good, "\n")
 
-    base = pages.dropDuplicates(["id"]).withColumn("source", F.coalesce(F.split("edition_id", "-")[0], F.lit(""))).join(F.broadcast(sets) if few else sets, "source", "left")
+    base = once(pages, "id").withColumn("source", F.coalesce(F.split("edition_id", "-")[0], F.lit(""))).join(F.broadcast(sets) if few else sets, "source", "left")
     blocks = F.from_json("blocks_json", _BLOCKS)
     fixed = F.filter(F.transform(blocks, lambda b: b.withField("text", kept(b["text"]))), lambda b: b["text"] != "")
     return base.select(F.col("id").alias("page_id"), F.when(F.col("bad").isNull(), F.col("full_text")).otherwise(kept(F.col("full_text"))).alias("full_text"), F.when(F.col("bad").isNull() | blocks.isNull(), F.col("blocks_json")).otherwise(F.to_json(fixed)).alias("blocks_json"))

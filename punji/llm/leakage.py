@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punji.runtime import cut, stored
+from punji.runtime import cut, once, stored
 
 WINDOW = 10  # successive words that make a leak
 NEAR_SPAN = 30  # words within which a proximity match must lie
@@ -93,9 +93,7 @@ def positional_index(documents: DataFrame) -> DataFrame:
     delivered twice is indexed once.
     """
     rows = documents.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if not rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
-    return stored(rows.mapInPandas(_index_rows, INDEX), "postings")
+    return stored(once(rows, "doc_id").mapInPandas(_index_rows, INDEX), "postings")
 
 
 class Shard:
