@@ -203,8 +203,9 @@ def boolean_search(s, d):
     return _top(search.match(table(s, d, "articles"), ["body"], "(broken OR కిటికీ) NOT నీరు", ["id"]))
 
 
+# None of the substrings begins as it ends, so occurrences don't overlap and the pieces between them count them.
 @registered(
-    f"""with {AR}, g as (select id, greatest(length(coalesce(body, '')) - 2, 0) as size, len(list_filter(range(1, length(coalesce(body, '')) - 3 + 2), lambda i: substr(lower(body), i, 4) = 'తాతక')) as f from a),
+    f"""with {AR}, g as (select id, greatest(length(coalesce(body, '')) - 2, 0) as size, len(string_split(lower(coalesce(body, '')), 'తాతక')) - 1 as f from a),
         st as (select count(*) as n, avg(size) as avgsize, sum(case when f > 0 then 1 else 0 end) as k from g)
         select id, round(-((case when ln((n - k + 0.5) / (k + 0.5)) <= 0 then 0.000001 else ln((n - k + 0.5) / (k + 0.5)) end) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size / avgsize))), 6) as rank from g, st where f > 0"""
 )
@@ -271,7 +272,7 @@ def indexed_search(s, d):
 
 
 @registered(
-    f"""with {AR}, g as (select id, greatest(length(coalesce(body, '')) - 2, 0) as size, {", ".join(f"len(list_filter(range(1, greatest(length(coalesce(body, '')) - {len(w) - 2}, 1)), lambda i: substr(lower(body), i, {len(w)}) = '{w}')) as f{k}" for k, w in enumerate(("తాతక", "కిటికీ లో", "నీరు")))} from a),
+    f"""with {AR}, g as (select id, greatest(length(coalesce(body, '')) - 2, 0) as size, {", ".join(f"len(string_split(lower(coalesce(body, '')), '{w}')) - 1 as f{k}" for k, w in enumerate(("తాతక", "కిటికీ లో", "నీరు")))} from a),
         st as (select count(*) as n, avg(size) as avgsize, {", ".join(f"sum((f{k} > 0)::int) as n{k}" for k in range(3))} from g)
         select id, round(-({" + ".join(f"(case when ln((n - n{k} + 0.5) / (n{k} + 0.5)) <= 0 then 0.000001 else ln((n - n{k} + 0.5) / (n{k} + 0.5)) end) * f{k} * 2.2 / (f{k} + 1.2 * (0.25 + 0.75 * size / avgsize))" for k in range(3))}), 6) as rank from g, st where (f0 > 0 or f1 > 0) and not f2 > 0"""
 )
