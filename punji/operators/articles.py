@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from punji.functions.text import clean_author, detect_series, plausible_author, slug, strip_space
 from punji.operators import quality, segment
-from punji.runtime import short_list
+from punji.runtime import computed, short_list
 
 CONTINUED = "ఇంకావుంది"  # Fixed value: the note under a part of a serial
 _AUTHOR = "array<struct<name:string,source:string,confidence:double>>"
@@ -31,18 +31,28 @@ def byline_authors(blocks: Column, width: float = segment.PAGE_WIDTH) -> Column:
     return _plausible(F.transform(first, lambda b: F.struct(F.split(text(b), "\n")[0].alias("name"), F.lit("right_subheading").alias("source"), F.lit(0.75).alias("confidence"))))
 
 
-def dash_authors(body: Column, tail: int = 12, inline: int = 4) -> Column:
-    """Authors behind a dash in the last lines of a text; in the very last, also behind a later dash of the line."""
+def last_lines(body: Column, tail: int = 12) -> Column:
+    """The last ``tail`` lines of a text that aren't empty, without white space at their ends."""
     lines = F.filter(F.transform(F.split(F.coalesce(body, F.lit("")), "\n"), strip_space), lambda x: x != "")
-    last = lambda n: F.when(F.size(lines) > n, F.slice(lines, -n, n)).otherwise(lines)
+    return F.reverse(F.slice(F.reverse(lines), 1, tail))
+
+
+def line_authors(last: Column, inline: int = 4) -> Column:
+    """Authors behind a dash in the last lines of a text; in the very last, also behind a later dash of the line."""
     author = lambda name, sure: F.struct(name.alias("name"), F.lit("trailing_dash").alias("source"), F.lit(sure).alias("confidence"))
-    whole = F.transform(F.filter(last(tail), lambda x: x.rlike(r"^[-–—]{1,2}\s*[^\n\-–—]{2,60}$")), lambda x: author(x, 0.85))
+    whole = F.transform(F.filter(last, lambda x: x.rlike(r"^[-–—]{1,2}\s*[^\n\-–—]{2,60}$")), lambda x: author(x, 0.85))
     # Forms of address that may stand before a name behind a dash.
     behind = r"[-–—]{1,2}\s*((?:శ్రీమతి|శ్రీ|సా\.?|డా\.?|కుమారి)?\s*[\x{C01}-\x{C7F}A-Za-z. ]{2,40})\s*\.?\s*$"
-    late = F.transform(F.filter(last(inline), lambda x: x.rlike(r"^[-–—]") & x.rlike(behind)), lambda x: author(F.regexp_extract(x, behind, 1), 0.8))
+    end = F.reverse(F.slice(F.reverse(last), 1, inline))
+    late = F.transform(F.filter(end, lambda x: x.rlike(r"^[-–—]") & x.rlike(behind)), lambda x: author(F.regexp_extract(x, behind, 1), 0.8))
     return F.concat(_plausible(whole), _plausible(late))
 
 
+def dash_authors(body: Column, tail: int = 12, inline: int = 4) -> Column:
+    """``line_authors`` of a text."""
+    return line_authors(last_lines(body, tail), inline)
+
+
 def title_authors(title: Column) -> Column:
     """An author that a contents title names behind dots."""
     # Forms of address by which such a name is known.
@@ -53,15 +63,14 @@ def title_authors(title: Column) -> Column:
 
 def merged_authors(*sources: Column) -> Column:
     """Each name once, in the order of its first mention, from the most confident source, the earlier on ties."""
-    every = F.concat(*sources)
-    names = F.array_distinct(F.transform(every, lambda a: a["name"]))
 
-    def best(name):
+    def best(every: Column, name: Column) -> Column:
         mine = F.filter(every, lambda a: a["name"] == name)
-        top = F.array_max(F.transform(mine, lambda a: a["confidence"]))
-        return F.filter(mine, lambda a: a["confidence"] == top)[0]
+        return F.filter(mine, lambda a: ~F.exists(mine, lambda b: b["confidence"] > a["confidence"]))[0]
 
-    return F.transform(names, best)
+    # the sources are a variable within, so that they are put together once
+    together = F.array(F.concat(*sources) if len(sources) > 1 else sources[0])
+    return F.transform(together, lambda every: F.transform(F.array_distinct(F.transform(every, lambda a: a["name"])), lambda name: best(every, name)))[0]
 
 
 def author_confidence(authors: Column) -> Column:
@@ -113,25 +122,27 @@ def build_articles(entries: DataFrame, blocks: DataFrame, editions: DataFrame, a
     spans = edition_spans(entries, editions)
     key = ["edition_id", "kind", "position"]
     pages = spans.where("end_page >= start_page").select(*key, F.explode(F.sequence("start_page", "end_page")).alias("page_number"))
-    marked = blocks
+    marked = segment.with_block_body(blocks)  # each block once, before it meets articles
     for name, df in (("__contents", contents), ("__gap", flagged)):
         if df is None:
             marked = marked.withColumn(name, F.lit(False))
         else:
             marked = marked.join(df.select("edition_id", "page_number").distinct().withColumn(name, F.lit(True)), ["edition_id", "page_number"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
     gaps = pages.join(flagged.select("edition_id", "page_number").distinct(), ["edition_id", "page_number"], "left_semi").select(*key).distinct().withColumn("gap", F.lit(True)) if flagged is not None else None
-    held = pages.join(marked, ["edition_id", "page_number"]).where(~F.col("__contents") | (F.col("kind") == "front_matter")).where(~segment.noise(F.coalesce("text", F.lit(""))))
-    gathered = held.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("page_number", "at", "type", "x0", "text", segment.block_body(F.col("text")).alias("body")))).alias("blocks"))
+    held = pages.join(marked, ["edition_id", "page_number"]).where(~F.col("__contents") | (F.col("kind") == "front_matter"))
+    gathered = held.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("page_number", "at", "type", "x0", "text", "body"))).alias("blocks"))
     rows = spans.join(gathered, key, "left")
     rows = rows.join(gaps, key, "left") if gaps is not None else rows.withColumn("gap", F.lit(None).cast("boolean"))
-    rows = rows.withColumn("body", F.coalesce(F.array_join(F.col("blocks.body"), "\n\n"), F.lit("")))
+    rows = computed(rows, body=F.coalesce(F.array_join(F.col("blocks.body"), "\n\n"), F.lit("")))
     own = F.col("kind") == "article"
     none = F.array().cast(_AUTHOR)
-    authors = merged_authors(F.coalesce(byline_authors(F.col("blocks")), none), dash_authors(F.col("body")), title_authors(F.col("title")))
-    rows = normal_series(rows.withColumn("author_sources", F.when(own, authors).otherwise(none)), aliases)
+    bylines = F.when(own, F.coalesce(byline_authors(F.col("blocks")), none)).otherwise(none)
+    rows = computed(rows, __right=bylines, __lines=F.when(own, last_lines(F.col("body"))).otherwise(F.array().cast("array<string>")))
+    rows = computed(rows, __every=F.concat("__right", line_authors(F.col("__lines")), F.when(own, title_authors(F.col("title"))).otherwise(none)))
+    rows = normal_series(computed(rows, author_sources=merged_authors(F.col("__every"))), aliases)
     found = quality.review_flags(F.col("body"), gap=F.coalesce("gap", F.lit(False)), certainty=author_confidence(F.col("author_sources")))
     failed = F.array(F.lit("needs_review"), F.lit("toc_parse_failed"))
-    rows = rows.withColumn("review_flags", F.when(own, found).when(F.col("kind") == "full_edition", failed).otherwise(F.array().cast("array<string>")))
+    rows = computed(rows, review_flags=F.when(own, found).when(F.col("kind") == "full_edition", failed).otherwise(F.array().cast("array<string>")))
     sure = F.when(own, quality.article_confidence(F.lit(0.9), F.col("review_flags"))).when(F.col("kind") == "front_matter", 0.85).when(F.col("kind") == "back_matter", 0.7).otherwise(0.3)
     name = F.when(own, slug(F.col("title"), F.coalesce("toc_index", F.lit(0)))).when(F.col("kind") == "front_matter", "00_front_matter").when(F.col("kind") == "back_matter", "99_back_matter").otherwise("00_full_edition")
     return rows.where(~((F.col("kind") == "back_matter") & (strip_space(F.col("body")) == ""))).select(

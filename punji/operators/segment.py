@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punji.functions.text import clean_author, plausible_author, repair_telugu, strip_space, toc_score
-from punji.runtime import once, short_list
+from punji.runtime import computed, once, short_list
 
 BLOCKS = "array<struct<block_no:int,bbox:array<double>,type:string,text:string,alignment:string,reading_order:int>>"
 PAGE_WIDTH = 600.0
@@ -72,32 +72,42 @@ MONTHS = ("జనవరి", "ఫిబ్రవరి", "మార్చి", "
 MASTHEAD = "మాసపత్రిక"  # what the title line of a page holds; each periodical has its own
 
 
-def noise(text: Column, masthead: str = MASTHEAD) -> Column:
-    """Nothing at all, short lines of volume or number, short mastheads, and a month with its year."""
-    t = strip_space(text)
+def _noise_of(t: Column, masthead: str) -> Column:
+    """``noise`` of a text without white space at its ends."""
     short = (t.startswith("సంచిక") & (F.length(t) < 20)) | (t.contains(masthead) & (F.length(t) < 40) & ~t.contains("\n"))
     dated = t.rlike(rf"(?U)^({'|'.join(MONTHS)})\s+\d{{4}}$")
     return F.when(t == "", True).when(t.startswith("సంపుటి"), F.length(t) < 20).otherwise(short | dated)
 
 
+def noise(text: Column, masthead: str = MASTHEAD) -> Column:
+    """Nothing at all, short lines of volume or number, short mastheads, and a month with its year."""
+    return _noise_of(strip_space(text), masthead)
+
+
 def without_leading_noise(text: Column, masthead: str = MASTHEAD) -> Column:
     """A block's text from its first line that isn't noise."""
     lines = F.split(strip_space(text), "\n")
-    at = F.array_position(F.transform(lines, lambda x: noise(x, masthead)), False)
+    at = F.array_position(F.transform(F.transform(lines, strip_space), lambda x: _noise_of(x, masthead)), False)
     return F.when(at == 0, "").otherwise(strip_space(F.array_join(F.slice(lines, at.cast("int"), F.size(lines)), "\n")))
 
 
-def block_body(text: Column, masthead: str = MASTHEAD) -> Column:
-    """What a block adds to an article's body, repaired; null for nothing."""
-    rest = without_leading_noise(text, masthead)
-    return F.when(~noise(text, masthead) & (rest != "") & ~noise(rest, masthead), repair_telugu(rest))
+def with_block_body(blocks: DataFrame, masthead: str = MASTHEAD) -> DataFrame:
+    """``blocks`` that aren't noise, with ``body``: what each adds to an article's body, repaired; null for nothing."""
+    held = computed(blocks, __text=strip_space(F.coalesce("text", F.lit(""))))
+    held = computed(held.where(~_noise_of(F.col("__text"), masthead)), __rest=without_leading_noise(F.col("__text"), masthead))
+    rest = F.col("__rest")
+    return held.withColumn("body", F.when((rest != "") & ~_noise_of(rest, masthead), repair_telugu(rest))).drop("__text", "__rest")
 
 
 def article_bodies(blocks: DataFrame, articles: DataFrame) -> DataFrame:
-    """(article_id, edition_id, body): the repaired texts of an article's blocks in page and block order."""
-    held = blocks_of_articles(blocks, articles).select("article_id", "edition_id", "page_number", "at", block_body(F.col("text")).alias("t")).where("t is not null")
-    parts = F.array_sort(F.collect_list(F.struct("page_number", "at", "t")))
-    return held.groupBy("article_id", "edition_id").agg(parts.alias("p")).select("article_id", "edition_id", F.array_join(F.col("p.t"), "\n\n").alias("body"))
+    """(article_id, edition_id, body): the repaired texts of an article's blocks in page and block order.
+
+    A block is repaired once, before it meets the articles whose pages hold it.
+    """
+    own = with_block_body(blocks.select("edition_id", "page_number", "at", "text")).where("body is not null")
+    held = blocks_of_articles(own, articles)
+    parts = F.array_sort(F.collect_list(F.struct("page_number", "at", "body")))
+    return held.groupBy("article_id", "edition_id").agg(parts.alias("p")).select("article_id", "edition_id", F.array_join(F.col("p.body"), "\n\n").alias("body"))
 
 
 def contents_pages(pages: DataFrame, least: int = 6, near: int = 2) -> DataFrame:

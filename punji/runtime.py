@@ -76,3 +76,14 @@ def short_list(df: DataFrame, most: int = 10_000) -> DataFrame:
     if df.limit(most + 1).count() > most:
         raise ValueError(f"a list of more than {most} rows isn't sent to every executor")
     return df
+
+
+def computed(df: DataFrame, **columns) -> DataFrame:
+    """``df`` with ``columns``, each computed once per row, however often later expressions use it.
+
+    A generator of one element stands between: the optimizer doesn't merge projections across it.
+    """
+    for name, value in columns.items():
+        kept = [F.col(c) for c in df.columns if c != name]
+        df = df.select(*kept, F.explode(F.array(value)).alias(name))
+    return df
