@@ -410,3 +410,23 @@ def test_subjects(spark):
     right = sum(got[i] == ({ids[s] for s in t} or {4}) for i, t in truth.items())
     assert right >= 0.9 * len(truth) and got[900] == {4} and got[901] == {4}
     assert subjects.document_subjects(df.limit(0), lab, subs).count() == 0
+
+
+def test_threshold_comes_from_all_labelled_documents(spark):
+    rng = random.Random(19)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {s: [f"{s}{c}{x}" for c in letters for x in "ab"] for s in ("sci", "law", "art")}
+    plain = [f"g{c}{x}" for c in letters for x in "abcd"]
+    text = lambda own: " ".join(" ".join([rng.choice(plain) for _ in range(5)] + ([rng.choice(words[s])] if s else [])) + "." for s in own)
+    order = [r[0] for r in spark.range(41_000).selectExpr("id", "xxhash64(id) as h").orderBy("h", "id").collect()]
+    docs, labels = [], []
+    for place, i in enumerate(order):  # the 20,000 of smallest hash show their subject in a quarter of the sentences, the others in all
+        k = rng.randrange(3)
+        s = list(words)[k]
+        docs.append((i, text([s, None, None, None] if place < 20_000 else [s] * 3)))
+        labels.append((i, k + 1))
+    docs.append((41_000, text(["sci"] * 36 + ["law"] * 4)))
+    df, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, subject_id int")
+    subs = spark.createDataFrame([(1, "sci"), (2, "law"), (3, "art"), (4, "general")], "subject_id int, subject_name string")
+    found = subjects.document_subjects(df, lab, subs).where("doc_id = 41000")
+    assert rows(found, "subject_id") == [(1,)]  # four of forty sentences are no fifth
