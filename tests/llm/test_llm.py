@@ -224,6 +224,27 @@ def test_all_candidates_come_from_trees_and_blocks_lose_nothing(spark):
     assert {(r["a"], r["b"]) for r in reprints.similar_keys(texts, block=7).collect()} == want
 
 
+def test_texts_that_share_a_shingle_by_chance_are_not_verified(spark):
+    count, links = 60, 8
+    data = []
+    for i in range(count):  # each has a copy, and one rare shingle in common with each of sixteen others
+        own = " ".join(f"w{i}x{k}" for k in range(500))
+        met = [(i, j) for j in range(i + 1, i + links + 1)] + [(j, i) for j in range(i - links, i)]
+        data += [(f"a{i:02}", "T", own), (f"b{i:02}", "T", own + "".join(f" l{x}m{y} l{x}n{y} l{x}o{y}" for x, y in met))]
+    df = spark.createDataFrame(data, "id string, title string, body string")
+    key = {r["id"]: r["key"] for r in reprints._texts(df).collect()}
+    want = {tuple(sorted((key[a], key[b]))) for a, b in brute_reprints(data)}
+    found = {(r["a"], r["b"]) for r in reprints.candidates(reprints._texts(df).select("key", "text")).collect() if r["a"] is not None}
+    assert len(want) == count and found == want
+
+
+def test_sets_smaller_than_what_prefixes_share(spark):
+    data = [(f"{w}{k}{n}", " ".join(w[:1] * n), " ".join((list(w) * 30)[: 20 + k])) for w in ("a", "bc", "def", "ghij") for k in range(3) for n in range(3)]
+    df = spark.createDataFrame(data, "id string, title string, body string")
+    found = brute_reprints(data)
+    assert rows(reprints.reprint_pairs(df), "article_a", "article_b") == found and any(a[0] == b[0] == "a" for a, b in found)
+
+
 def test_texts_with_full_hash_groups(spark):
     rng = random.Random(13)
     words = [f"{rng.randrange(1 << 40):x}" for _ in range(38_000 * reprints.GROUPS)]  # what is shared fills each group beyond 16 bits
